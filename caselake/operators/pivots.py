@@ -36,9 +36,9 @@ def pivot_sum(
 def pivot_all(df: DataFrame, index: list[str], column: str, first: list[str], measure: str) -> DataFrame:
     """As ``pivot_sum`` with a column for every value: known ones first, then the rest by name.
 
-    The labels come from a closed domain, so finding the rest is a small query.
+    Spark finds the labels in a first small query and refuses an unbounded domain.
     """
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(1000).collect()
-    present = [r[0] for r in found]
-    values = [v for v in first if v in present] + [v for v in present if v not in first]
-    return pivot_sum(df, index, column, values, measure)
+    rows = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*index, column]]))
+    wide = rows.groupBy(*index).pivot(column).agg(F.sum(measure)).fillna(0)
+    labels = [c for c in wide.columns if c not in index]
+    return wide.select(*index, *[v for v in first if v in labels], *sorted(v for v in labels if v not in first))
