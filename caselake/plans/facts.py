@@ -7,7 +7,7 @@ The natural keys stay on the facts: later joins reuse them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caselake.functions.dates import date_skey, parse_timestamp
@@ -109,13 +109,14 @@ def fact_event_officer(
 
 def with_officer_version(rows: DataFrame, officers: DataFrame, day: Column) -> DataFrame:
     """Add the officer version valid on ``day`` (left join, at most one match)."""
-    first_start = officers.groupBy("officer_id").agg(F.min("row_start_date").alias("_first"))
-    versions = officers.join(first_start, "officer_id").select(
+    # a handful of versions per officer: one per observed change
+    first = F.min("row_start_date").over(Window.partitionBy("officer_id"))
+    versions = officers.select(
         F.col("officer_id").alias("_oid"),
         "officer_skey",
         F.col("row_start_date").alias("_from"),
         F.col("row_end_date").alias("_to"),
-        (F.col("row_start_date") == F.col("_first")).alias("_is_first"),
+        (F.col("row_start_date") == first).alias("_is_first"),
     )
     match = (F.col("officer_id") == F.col("_oid")) & valid_on(day, F.col("_from"), F.col("_to"), F.col("_is_first"))
     return rows.join(versions, match, "left").drop("_oid", "_from", "_to", "_is_first")
