@@ -17,19 +17,26 @@ CALENDAR_START = dt.date(2000, 1, 1)
 CALENDAR_END = dt.date(2030, 12, 31)
 EPOCH_WATERMARK = dt.datetime(1900, 1, 1)
 COMPACT_FORMATS = ("yyyyMMdd HH:mm", "yyyyMMdd")
+COMPACT_STAMP, COMPACT_DAY = r"^\d{8} \d{2}:\d{2}$", r"^\d{8}$"
 
 
 def parse_timestamp(c: str | Column) -> Column:
-    """ISO text first, then the compact formats; NULL when nothing fits."""
+    """ISO text or one of the compact formats; NULL when nothing fits.
+
+    The form is told by its shape: trying one parser after the other would raise
+    and catch an error on every row of a feed in the other form.
+    """
     text = _text(c)
-    compact = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in COMPACT_FORMATS]
-    return F.coalesce(text.try_cast("timestamp_ntz"), *compact)
+    stamped, plain = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in COMPACT_FORMATS]
+    iso = text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(COMPACT_STAMP), stamped).when(text.rlike(COMPACT_DAY), plain).otherwise(iso)
 
 
 def parse_date(c: str | Column) -> Column:
     text = _text(c)
-    compact = [F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in COMPACT_FORMATS]
-    return F.coalesce(text.try_cast("date"), *compact)
+    stamped, plain = [F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in COMPACT_FORMATS]
+    iso = text.try_cast("date")
+    return F.when(text.rlike(COMPACT_STAMP), stamped).when(text.rlike(COMPACT_DAY), plain).otherwise(iso)
 
 
 def date_skey(c: str | Column) -> Column:

@@ -6,12 +6,14 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Results depend on the time zone; the rest keeps hot keys from stalling a join.
+# Results depend on the time zone. The skew settings keep hot keys from stalling a join. The JVM does
+# not compile methods over 8000 bytes, so larger generated stages are better split into operators.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}

@@ -30,4 +30,5 @@ def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     Orders by a seeded hash, so the draw does not depend on partitioning; the
     top-n runs per partition before one merge.
     """
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    draw = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.orderBy(draw, F.col(key)).limit(n)

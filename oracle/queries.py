@@ -259,6 +259,7 @@ add(
     """SELECT (SELECT count(*) FROM report_fields) AS reports, CAST(0 AS BIGINT) AS failures, (SELECT count(*) FROM report_entities) AS entity_rows, count(DISTINCT charge) AS charges_with_issues,
        count(*) FILTER (WHERE severity = 'ERROR') AS errors, count(*) FILTER (WHERE severity = 'WARNING') AS warnings FROM report_issues""",
 )
+add("report_sample", "SELECT * FROM report_fields ORDER BY md5(concat_ws(':', charge, '42')), charge LIMIT 200")
 add("model_answer_entities", entities("answer_fields", "accused_relationship_to_victim", "victim_relationship_to_accused"))
 add("model_answer_failures", "SELECT doc_id, 'answer is not a JSON object' AS error FROM answer_json WHERE j IS NULL")
 add("documents_scan", "SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, md5(text) AS text_md5 FROM documents")
