@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,9 +23,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 
 def minus_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not in ``source``."""
-    right = source.select(*[F.col(k).alias(f"_src_{k}") for k in keys])
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_src_{k}")) for k in keys])
-    return target.join(right, match, "left_anti")
+    return target.join(_renamed(source, keys), _same(keys), "left_anti")
+
+
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_src_{k}") for k in keys])
+
+
+def _same(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_src_{k}")) for k in keys])
 
 
 def append_checked(df: DataFrame, path: str, by: list[str]) -> None:
@@ -37,39 +43,51 @@ def append_checked(df: DataFrame, path: str, by: list[str]) -> None:
         drift = {n for n in have.keys() | new.keys() if n not in by and have.get(n) != new.get(n)}
         if drift or have.keys() != new.keys():
             raise ValueError(f"schema changed on append: {sorted(drift or (have.keys() ^ new.keys()))}")
-    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("append").partitionBy(*by).parquet(path)
+    _write_by(df, by).mode("append").partitionBy(*by).parquet(path)
+
 
+def upsert_partitions(path: str, source: DataFrame, keys: list[str], by: list[str], staging: str) -> None:
+    """Merge ``source`` by key into the partitioned table at ``path``."""
+    replace_keys(path, source, source.select(*keys), keys, by, staging)
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: list[str], staging: str) -> None:
-    """Merge ``source`` into the partitioned table at ``path``, touching few partitions.
 
-    Only partitions that hold a touched key, or receive one, are rewritten: a
-    key may move between partitions. The new content is written to ``staging``
-    first, because a table cannot be overwritten while it is being read; a lost
-    executor or a failed run leaves the table as it was.
+def replace_keys(path: str, source: DataFrame, stale: DataFrame, keys: list[str], by: list[str], staging: str) -> None:
+    """Delete the rows whose key is in ``stale`` and insert ``source``, touching few partitions.
+
+    Only partitions that hold a stale key, or receive a row, are rewritten: a row
+    may move between partitions. The new content is written to ``staging`` first,
+    because a table cannot be overwritten while it is being read; until then a
+    lost executor or a failed run leaves the table as it was, and a rerun repeats
+    the step.
     """
+    spark = source.sparkSession
     if not path_exists(spark, path):
-        source.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(path)
+        _write_by(source, by).mode("overwrite").partitionBy(*by).parquet(path)
         return
     target = spark.read.parquet(path)
-    source = source.select(*target.columns)
-    same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(source[k]) for k in keys])
-    held = target.join(source, same, "left_semi").select(*by)
-    # one row per partition value: as small as the directory listing of the table
-    affected = held.union(source.select(*by)).distinct()
-    content = upsert(_in_partitions(target, affected, by), source, keys)
-    content.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(staging)
+    # partition columns come back from folder names: give them their declared types again
+    target = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema])
+    held = target.join(_renamed(stale, keys), _same(keys), "left_semi").select(*by)
+    # partition values only: as many rows as the table has folders
+    affected = {tuple(r) for r in held.union(source.select(*by)).distinct().collect()}
+    if not affected:
+        return
+    old = target.where(reduce(lambda a, b: a | b, [_is_partition(by, v) for v in affected]))
+    content = minus_keys(old, stale, keys).unionByName(source)
+    _write_by(content, by).mode("overwrite").partitionBy(*by).parquet(staging)
     staged = spark.read.schema(content.schema).parquet(staging)
-    emptied = minus_keys(affected, staged.select(*by).distinct(), by).collect()
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    for row in emptied:  # partitions all of whose rows moved away
-        _drop_partition(spark, path, row.asDict())
+    filled = {tuple(r) for r in staged.select(*by).distinct().collect()}
+    _write_by(staged, by).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    for values in affected - filled:  # partitions all of whose rows went away
+        _drop_partition(spark, path, dict(zip(by, values)))
+
+
+def _write_by(df: DataFrame, by: list[str]):
+    return df.hint("rebalance", *[F.col(c) for c in by]).write
 
 
-def _in_partitions(df: DataFrame, values: DataFrame, by: list[str]) -> DataFrame:
-    right = values.select(*[F.col(c).alias(f"_part_{c}") for c in by])
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_part_{c}")) for c in by])
-    return df.join(right, match, "left_semi")
+def _is_partition(by: list[str], values: tuple) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, values)])
 
 
 def write_version(df: DataFrame, path: str) -> DataFrame:
