@@ -46,19 +46,22 @@ def append_checked(df: DataFrame, path: str, by: list[str]) -> None:
     _write_by(df, by).mode("append").partitionBy(*by).parquet(path)
 
 
-def upsert_partitions(path: str, source: DataFrame, keys: list[str], by: list[str], staging: str) -> None:
+def upsert_partitions(path: str, source: DataFrame, keys: list[str], by: list[str], staging: str, fixed: bool = False) -> None:
     """Merge ``source`` by key into the partitioned table at ``path``."""
-    replace_keys(path, source, source.select(*keys), keys, by, staging)
+    replace_keys(path, source, source.select(*keys), keys, by, staging, fixed)
 
 
-def replace_keys(path: str, source: DataFrame, stale: DataFrame, keys: list[str], by: list[str], staging: str) -> None:
+def replace_keys(
+    path: str, source: DataFrame, stale: DataFrame, keys: list[str], by: list[str], staging: str, fixed: bool = False
+) -> None:
     """Delete the rows whose key is in ``stale`` and insert ``source``, touching few partitions.
 
     Only partitions that hold a stale key, or receive a row, are rewritten: a row
     may move between partitions. The new content is written to ``staging`` first,
     because a table cannot be overwritten while it is being read; until then a
     lost executor or a failed run leaves the table as it was, and a rerun repeats
-    the step.
+    the step. ``fixed`` says that the partition follows from the key, so a stale
+    row can only sit in a partition the source names and no search is needed.
     """
     spark = source.sparkSession
     if not path_exists(spark, path):
@@ -67,9 +70,11 @@ def replace_keys(path: str, source: DataFrame, stale: DataFrame, keys: list[str]
     target = spark.read.parquet(path)
     # partition columns come back from folder names: give them their declared types again
     target = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema])
-    held = target.join(_renamed(stale, keys), _same(keys), "left_semi").select(*by)
+    places = source.select(*by)
+    if not fixed:
+        places = places.union(target.join(_renamed(stale, keys), _same(keys), "left_semi").select(*by))
     # partition values only: as many rows as the table has folders
-    affected = {tuple(r) for r in held.union(source.select(*by)).distinct().collect()}
+    affected = {tuple(r) for r in places.distinct().collect()}
     if not affected:
         return
     old = target.where(reduce(lambda a, b: a | b, [_is_partition(by, v) for v in affected]))

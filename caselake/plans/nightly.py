@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from caselake.session import configure
 from caselake.sources.registry import SourceSpec, load_registry
 
 FILE_DAY = ["_file_day"]
+SOURCES_AT_ONCE = 4
 STAMP = "_bronze_loaded_at"
 # Partition columns of the star schema.
 PARTITIONS = {
@@ -58,10 +60,16 @@ class Nightly:
     def run(self, landing: Callable[[str], DataFrame], as_of: dt.date, loaded_at: dt.datetime) -> None:
         """Load all landing rows past the last run. ``loaded_at`` must grow from run to run."""
         mark = self.last_mark()
-        for source in SOURCES:
+
+        def load(source: str) -> None:
             self.load_bronze(source, landing(source), loaded_at)
             self.load_quality(source, as_of, loaded_at)
+
+        with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:  # the sources are independent Spark jobs
+            list(pool.map(load, SOURCES))
         fresh = {s: newer_than(self.read("qa", s), STAMP, mark) for s in SOURCES}
+        if all(rows.isEmpty() for rows in fresh.values()):
+            return
         cases = self._keep("touched_cases", self.touched_cases(fresh))
         self.load_dims(fresh, cases)
         self.load_facts(fresh, cases)
@@ -86,7 +94,9 @@ class Nightly:
         done = high_water_mark(self.spark.read.parquet(path), STAMP) if path_exists(self.spark, path) else EPOCH_WATERMARK
         bronze = newer_than(self.read("bronze", source).drop("_file_day"), STAMP, done)
         rows = to_quality(bronze, source, as_of, loaded_at=_literal(loaded_at))
-        upsert_partitions(path, rows.withColumn("_file_day", F.to_date("_file_date")), KEYS[source], FILE_DAY, self._staging(source))
+        dated = rows.withColumn("_file_day", F.to_date("_file_date"))
+        # the file date is part of every key, so a key never leaves its day
+        upsert_partitions(path, dated, KEYS[source], FILE_DAY, self._staging(source), fixed=True)
 
     # --- keys a load touches
 

@@ -32,7 +32,7 @@ def lakes(spark, folder, tmp_path_factory):
     lake = Nightly(spark, str(tmp_path_factory.mktemp("lake")))
     lake.run(upto(landing, CUT, "2024-01-15 00:00:00"), AS_OF, dt.datetime(2026, 1, 1, 1))
     lake.run(landing, AS_OF, dt.datetime(2026, 1, 2, 1))
-    full = CaseLake(spark, landing, AS_OF, share=False)
+    full = CaseLake(spark, landing, AS_OF, namespace="rebuild")
     return lake, full
 
 
