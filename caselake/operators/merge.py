@@ -69,7 +69,7 @@ def replace_keys(
         return
     target = spark.read.parquet(path)
     # partition columns come back from folder names: give them their declared types again
-    target = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema])
+    target = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in source.schema])
     places = source.select(*by)
     if not fixed:
         places = places.union(target.join(_renamed(stale, keys), _same(keys), "left_semi").select(*by))

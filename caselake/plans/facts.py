@@ -61,7 +61,8 @@ def current_events(qa_events: DataFrame, mode: str = "strict") -> DataFrame:
     rows = rows.select(
         "court_event_id", "case_pid", "court_event_type", "start_datetime", "court_number", "court_event_status", "_file_date", "_bronze_loaded_at"
     )
-    return latest_by(rows, ["court_event_id"], ["_file_date"]).where(is_new)
+    # unique on event, case and file date
+    return latest_by(rows, ["court_event_id"], ["_file_date"], then=["case_pid"]).where(is_new)
 
 
 def current_event_officers(qa_event_officers: DataFrame) -> DataFrame:
@@ -89,7 +90,8 @@ def fact_event_officer(
         .join(event_groups(spark), "court_event_type", "left")
     )
     cases = latest_cases(qa_cases).select("case_pid", "case_skey")
-    rows = events.join(cases, "case_pid", "left").join(current_event_officers(qa_event_officers), "court_event_id")
+    # officers first: the events already sit by event id
+    rows = events.join(current_event_officers(qa_event_officers), "court_event_id").join(cases, "case_pid", "left")
     keyed = with_officer_version(rows, officers, F.col("_day"))
     return keyed.select(
         surrogate_key("court_event_id", "officer_id").alias("event_officer_skey"),
@@ -146,7 +148,6 @@ def charge_victims(qa_entities: DataFrame, persons: DataFrame) -> DataFrame:
             F.coalesce("offence_group", F.lit(UNKNOWN_GROUP)).alias("offence_group"),
             "_file_date",
         )
-        .distinct()
     )
     named = victims.join(by_name, ["full_name", "gender"], "left")
     order = total_order(["_file_date"], ["offence_group", "relation_to_accused", "victim_skey"])
@@ -184,6 +185,7 @@ def fact_case_charge(qa_charges: DataFrame, qa_cases: DataFrame, qa_entities: Da
         valid(qa_charges).select("case_pid", "charge_no", "charge_type", "charge_status", "offence_date", "_file_date", "_bronze_loaded_at"),
         ["case_pid", "charge_no"],
         ["_file_date"],
+        then=[],  # unique on case, charge and file date
     )
     rows = charges.join(reconciled_cases(qa_cases, qa_charges), "case_pid").join(
         charge_victims(qa_entities, persons), ["case_no", "charge_no"], "left"
@@ -209,7 +211,7 @@ def fact_case_charge(qa_charges: DataFrame, qa_cases: DataFrame, qa_entities: Da
 def assignment_source(qa_assignments: DataFrame) -> DataFrame:
     """Latest assignment per case and officer: what one snapshot run sees."""
     rows = valid(qa_assignments).select("case_pid", "officer_id", "officer_name", "cluster", "team", "_file_date", "_bronze_loaded_at")
-    return latest_by(rows, ["case_pid", "officer_id"], ["_file_date"])
+    return latest_by(rows, ["case_pid", "officer_id"], ["_file_date"], then=[])
 
 
 def assignment_history(qa_assignments: DataFrame) -> DataFrame:

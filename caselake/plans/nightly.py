@@ -26,9 +26,11 @@ from caselake.operators.merge import append_checked, path_exists, read_current,
 from caselake.operators.quality import KEYS, to_quality
 from caselake.operators.watermark import high_water_mark, newer_than
 from caselake.plans import dims, facts, marts
+from caselake.plans.comments import COMMENTS
 from caselake.plans.pipeline import SOURCES
 from caselake.session import configure
 from caselake.sources.registry import SourceSpec, load_registry
+from caselake.sources.tables import with_comments
 
 FILE_DAY = ["_file_day"]
 SOURCES_AT_ONCE = 4
@@ -154,11 +156,12 @@ class Nightly:
             "event_offence_hearing_days": marts.event_offence_hearing_days(event, charge, officer, t["dim_officer"]),
         }
         for name, df in built.items():
-            write_version(df, f"{self.root}/gold/{name}")
+            write_version(with_comments(df, COMMENTS[name]), f"{self.root}/gold/{name}")
 
     # --- writing
 
     def _replace(self, name: str, rows: DataFrame, stale: DataFrame, keys: list[str]) -> None:
+        rows = with_comments(rows, COMMENTS[name])
         replace_keys(f"{self.root}/silver/{name}", rows, stale, keys, PARTITIONS[name], self._staging(name))
 
     def _staging(self, name: str) -> str:
