@@ -41,7 +41,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def lake(spark: SparkSession, folder: str) -> CaseLake:
-    return CaseLake(spark, Landing(spark, folder), AS_OF, namespace=folder)
+    """The lake over a folder; changed input files give it a namespace of its own."""
+    return CaseLake(spark, Landing(spark, folder), AS_OF, namespace=f"{folder}|{fingerprint(spark, folder)}")
+
+
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the input files (a directory listing, no data)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return str(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in listed))
 
 
 def register(name: str):

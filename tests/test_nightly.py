@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from caselake.operators import checks
 from caselake.plans.nightly import Nightly
 from caselake.plans.pipeline import CaseLake
 from caselake.sources.fixtures import Landing
@@ -60,3 +61,44 @@ def test_rerun_without_news_changes_nothing(lakes, spark, folder):
     lake.run(Landing(spark, folder), AS_OF, dt.datetime(2026, 1, 3, 1))
     for t, rows in before.items():
         assert as_rows(lake.read("silver", t)) == rows
+
+
+KEYS = {"dim_person": "person_skey", "dim_case": "case_skey", "dim_officer": "officer_skey", "fact_event_officer": "event_officer_skey", "fact_case_charge": "case_charge_skey", "fact_case_officer": "case_officer_skey"}
+REFERENCES = [
+    ("dim_case", "accused_skey", "dim_person", "person_skey"),
+    ("fact_case_charge", "case_skey", "dim_case", "case_skey"),
+    ("fact_case_charge", "victim_skey", "dim_person", "person_skey"),
+    ("fact_case_officer", "case_skey", "dim_case", "case_skey"),
+    ("fact_case_officer", "officer_skey", "dim_officer", "officer_skey"),
+    ("fact_event_officer", "case_skey", "dim_case", "case_skey"),
+    ("fact_event_officer", "officer_skey", "dim_officer", "officer_skey"),
+]
+
+
+@pytest.mark.parametrize("table,key", KEYS.items())
+def test_keys_are_present_and_unique(lakes, table, key):
+    df = lakes[0].read("silver", table)
+    assert checks.passes(checks.not_null(df, key)) and checks.passes(checks.unique_column(df, key))
+
+
+@pytest.mark.parametrize("child,column,parent,field", REFERENCES)
+def test_computed_keys_have_their_parent_row(lakes, child, column, parent, field):
+    lake = lakes[0]
+    assert checks.passes(checks.relationships(lake.read("silver", child), column, lake.read("silver", parent), field))
+
+
+@pytest.mark.parametrize("column", ["assigned_from_date_skey", "assigned_to_date_skey", "first_mention_date_skey"])
+def test_computed_date_keys_are_in_the_calendar(lakes, column):
+    lake, full = lakes
+    assert checks.passes(checks.relationships(lake.read("silver", "fact_case_officer"), column, full.build("dim_date"), "date_skey"))
+
+
+def test_history_intervals_do_not_overlap(lakes):
+    history = lakes[1].build("assignment_history")
+    assert history.where("valid_to <= valid_from").isEmpty()
+    assert checks.passes(checks.unique(history.where("valid_to IS NULL"), ["case_pid", "officer_id"]))
+
+
+def test_comments_are_written(lakes):
+    assert lakes[0].read("silver", "fact_case_charge").schema["charge_status"].metadata["comment"]
+    assert lakes[0].read("gold", "case_officer_workload").schema["case_count"].metadata["comment"]
