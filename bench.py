@@ -18,7 +18,7 @@ from caselake.session import local_session
 
 BUILDS = (
     "qa_cases qa_assignments qa_charges qa_events qa_event_officers qa_entities dim_person dim_officer dim_case "
-    "fact_event_officer fact_case_charge fact_case_officer case_officer_workload case_offence_distribution "
+    "fact_event_officer fact_case_charge case_profile fact_case_officer case_officer_workload case_offence_distribution "
     "event_offence_hearing_days report_fields"
 ).split()
 HEADLINE = (

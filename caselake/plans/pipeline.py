@@ -26,7 +26,7 @@ SOURCES = ("cases", "assignments", "charges", "offences", "events", "event_offic
 # Tables more than one other table or query reads.
 SHARED = frozenset(
     [f"qa_{s}" for s in ("cases", "charges", "entities", "events", "event_officers", "assignments")]
-    + ["dim_person", "dim_officer", "dim_case", "fact_event_officer", "fact_case_charge", "fact_case_officer"]
+    + ["dim_person", "dim_officer", "dim_case", "fact_event_officer", "fact_case_charge", "case_profile", "fact_case_officer"]
     + ["case_officer_workload", "case_offence_distribution", "event_offence_hearing_days", "report_fields"]
 )
 
@@ -114,7 +114,7 @@ class CaseLake:
         )
 
     def _fact_case_officer(self) -> DataFrame:
-        return facts.fact_case_officer(self.build("assignment_history"), self.build("case_profile"), self.table("dim_officer"))
+        return facts.fact_case_officer(self.build("assignment_history"), self.table("case_profile"), self.table("dim_officer"))
 
     def _case_officer_workload(self) -> DataFrame:
         return marts.case_officer_workload(

@@ -253,7 +253,7 @@ def delete_voided_events(c: CaseLake) -> DataFrame:
 @register("recompute_touched_cases")
 def recompute_touched_cases(c: CaseLake) -> DataFrame:
     """The officer fact before the cut with every touched case recomputed whole."""
-    qa, profile, officers = c.table("qa_assignments"), c.build("case_profile"), c.table("dim_officer")
+    qa, profile, officers = c.table("qa_assignments"), c.table("case_profile"), c.table("dim_officer")
     before = facts.fact_case_officer(facts.assignment_history(_cut(qa, False, "_file_date")), profile, officers)
     changed = facts.touched_cases(_cut(qa, True, "_file_date"), _cut(c.table("qa_events"), True))
     again = facts.fact_case_officer(touched(facts.assignment_history(qa), changed, "case_pid"), profile, officers)
