@@ -88,16 +88,21 @@ def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def _same(left: DataFrame, right: DataFrame, doc_id: str, th: str) -> Column:
+    """Null-safe equality of the key of ``left`` with columns of ``right``."""
+    return left["doc_id"].eqNullSafe(right[doc_id]) & (left["th"] == right[th])
+
+
 def _order(docs: DataFrame, partitions: int) -> DataFrame:
-    """id, th of each document, with id, th of the next one and of the previous one and its length.
+    """k_id, k_th of each document, with id, hash and length of the previous one and id and hash of the next.
 
     Keys alone are ranged, and neighbours found inside a range; the first and last
     key of each range, one row per range, link the ranges.
     """
-    keys = docs.groupBy("id", "th").agg(F.first("n").alias("n"))
-    keys = materialized(keys.repartitionByRange(partitions, "id", "th").withColumn("range", F.spark_partition_id()), "doc-order")
-    key = F.struct("id", "th", "n")
-    inside = Window.partitionBy("range").orderBy(F.col("id").desc(), F.col("th").desc())
+    keys = docs.groupBy("doc_id", "th").agg(F.first("n").alias("n"))
+    keys = materialized(keys.repartitionByRange(partitions, "doc_id", "th").withColumn("range", F.spark_partition_id()), "doc-order")
+    key = F.struct("doc_id", "th", "n")
+    inside = Window.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.col("th").desc())
     ends = keys.groupBy("range").agg(F.max(key).alias("top"), F.min(key).alias("bottom"))
     along = Window.orderBy(F.col("range").desc())
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -107,37 +112,39 @@ def _order(docs: DataFrame, partitions: int) -> DataFrame:
         F.coalesce(F.lead("top").over(along), F.first("top").over(whole)).alias("below"),
     )
     near = keys.withColumn("up", F.lag(key).over(inside)).withColumn("down", F.lead(key).over(inside))
-    near = near.join(ends, near["range"] == ends["r"])
-    up, down = F.coalesce("up", "above"), F.coalesce("down", "below")
-    return near.select("id", "th", up["id"].alias("up_id"), up["th"].alias("up_th"), up["n"].alias("up_n"), down["id"].alias("next_id"), down["th"].alias("next_th"))
+    near = near.join(ends, near["range"] == ends["r"]).withColumn("up", F.coalesce("up", "above")).withColumn("down", F.coalesce("down", "below"))
+    return near.select(
+        F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), F.col("up.doc_id").alias("up_id"), F.col("up.th").alias("up_th"), F.col("up.n").alias("up_n"),
+        F.col("down.doc_id").alias("next_id"), F.col("down.th").alias("next_th"),
+    )
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text replaces a document's last third by the start of the next
-    document, in descending doc_id, the first after the last.
+    document, in descending doc_id, the first after the last. Whole texts are
+    shuffled once: both joins below read the same exchange; only what a document
+    lends to the one before it travels a second time.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = F.col("doc_id").cast("long")
-    rows = docs.select(own.alias("doc_id"), F.coalesce(own, F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    keyed = rows.select("id", "th", F.length("text").alias("n"))
-    order = materialized(_order(keyed, int(spark.conf.get("spark.sql.shuffle.partitions"))), "doc-neighbours")
-    # what each document lends to the one before it, and to itself its own text
-    lent = rows.select("id", "th", "text").join(order.select("id", "th", "up_id", "up_th", "up_n"), ["id", "th"])
-    lent = lent.select(F.col("up_id").alias("id"), F.col("up_th").alias("th"), F.expr("left(text, up_n div 3)").alias("lent")).dropDuplicates(["id", "th"])
-    n = F.length("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    lengths = rows.select("doc_id", "th", F.length("text").alias("n"))
+    order = materialized(_order(lengths, int(spark.conf.get("spark.sql.shuffle.partitions"))), "doc-neighbours")
+    ups = order.select("k_id", "k_th", "up_id", "up_th", "up_n")
+    lent = rows.join(ups, _same(rows, ups, "k_id", "k_th")).select("up_id", "up_th", F.expr("left(text, up_n div 3)").alias("lent")).dropDuplicates(["up_id", "up_th"])
     edited = F.concat(F.expr("left(text, length(text) - length(text) div 3)"), F.col("lent"))
-    made = rows.join(lent, ["id", "th"]).select("doc_id", "id", "th", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
+    made = rows.join(lent, _same(rows, lent, "up_id", "up_th")).select("doc_id", "th", F.length("text").cast("long").alias("n_chars"), "text", edited.alias("edited"))
     made = made.select(
-        "doc_id", "id", "th", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "doc_id", "th", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         simhash(F.col("text")).alias("fp"), simhash(F.col("edited")).alias("edited_fp"),
     )
     made = materialized(made, "doc-fingerprints")
-    following = made.select(F.col("id").alias("next_id"), F.col("th").alias("next_th"), F.col("fp").alias("next_fp")).distinct()
-    pairs = order.select("id", "th", "next_id", "next_th").join(following, ["next_id", "next_th"]).select("id", "th", "next_fp")
-    return made.join(pairs, ["id", "th"]).select(
+    following = made.select("doc_id", "th", F.col("fp").alias("next_fp")).distinct()
+    nexts = order.select("k_id", "k_th", "next_id", "next_th")
+    pairs = following.join(nexts, _same(following, nexts, "next_id", "next_th")).select("k_id", "k_th", "next_fp")
+    return made.join(pairs, _same(made, pairs, "k_id", "k_th")).select(
         "doc_id", "n_chars", "edited_sha256", hexadecimal(F.col("fp")).alias("fingerprint"), hexadecimal(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
     )

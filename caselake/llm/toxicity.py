@@ -1,6 +1,6 @@
-"""Toxicity by cumulative-link ordinal regression on words.
+"""Toxicity by cumulative-link ordinal regression on words and word beginnings.
 
-P(grade > k) = sigmoid(w . x - t_k): one weight per word, shared by all ordered
+P(grade > k) = sigmoid(w . x - t_k): one weight per feature, shared by all ordered
 thresholds t_1 < t_2. The expected severity is the sum of these probabilities.
 
 The labels only say toxic or not. Grades are made inside the sample: clean
@@ -8,7 +8,7 @@ documents are grade 0; toxic ones are grade 1 or 2 by whether they hold at most
 or more than the median number of marked words.
 
 Fitting uses a bounded sample, ``SAMPLE`` labelled documents of each class (those
-with the smallest hash of their id), and ``FEATURES`` words, those that tell the
+with the smallest hash of their id), and ``FEATURES`` features, those that tell the
 classes apart best in the sample. Scoring reads every whole text; the weights it
 broadcasts are bounded by ``FEATURES``.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 #: Most labelled documents of each class the model is fitted on.
 SAMPLE = 4_000
-#: Most words that get a weight.
+#: Most words and beginnings that get a weight.
 FEATURES = 512
 #: Documents of the sample a word must occur in.
 LEAST = 5
@@ -41,11 +41,17 @@ STEPS = 400
 #: P(grade > 0) from which a document is rejected.
 REJECT = 0.5
 
+#: Letters of a beginning: inflected and compound words share it.
+STEMS = (5, 7)
 WORD = re.compile(r"\w+")
 
 
-def words(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+def features(text: str | None) -> set[str]:
+    """The different words of a text, and the beginnings of longer ones, marked by a star."""
+    found = set(WORD.findall((text or "").lower()))
+    for n in STEMS:
+        found |= {w[:n] + "*" for w in found if len(w) > n and w[-1] != "*"}
+    return found
 
 
 @dataclass(frozen=True)
@@ -58,7 +64,7 @@ class Ordinal:
     def exceed(self, text: str | None) -> list[float]:
         """P(grade > k) for each threshold."""
         get = self.weights.get
-        s = sum(get(w, 0.0) for w in words(text))
+        s = sum(get(w, 0.0) for w in features(text))
         return [float(1 / (1 + np.exp(np.clip(t - s, -500, 500)))) for t in self.thresholds]
 
 
@@ -76,13 +82,13 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, features: int = FEATURES) -> Ordinal:
+def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, most: int = FEATURES) -> Ordinal:
     """The model of the sample. Only chosen words and their places in the sample reach the driver."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "toxic", "text"))):
-                held = list(words(text))
+                held = list(features(text))
                 yield pa.RecordBatch.from_arrays([pa.array([doc] * len(held), pa.int64()), pa.array([toxic] * len(held), pa.int32()), pa.array(held, pa.string())], ["doc_id", "toxic", "word"])
 
     drawn = sample(docs, labels, size).persist()
@@ -95,14 +101,16 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, features: int =
         # difference of the two shares over its spread
         a, b = F.col("t") / n[1], F.col("c") / n[0]
         spread = F.sqrt((F.col("t") + F.col("c") + 1) / F.lit(n[0] + n[1]) * (1 / n[0] + 1 / n[1]))
-        best = counts.orderBy((F.abs(a - b) / spread).desc(), "word").limit(features).select("word", (a > b).alias("marked"))
+        best = counts.orderBy((F.abs(a - b) / spread).desc(), "word").limit(most).select("word", (a > b).alias("marked"))
         chosen = {r["word"]: (i, r["marked"]) for i, r in enumerate(best.collect())}
-        held = pairs.join(F.broadcast(best), "word").groupBy("doc_id").agg(F.collect_list("word").alias("words"), F.first("toxic").alias("toxic")).collect()
+        # documents without any of the features count, too
+        present = pairs.join(F.broadcast(best), "word").groupBy("doc_id").agg(F.collect_list("word").alias("words"))
+        held = drawn.select("doc_id", "toxic").distinct().join(present, "doc_id", "left").collect()
     finally:
         drawn.unpersist()
     x, toxic = np.zeros((len(held), len(chosen)), np.float32), np.zeros(len(held), np.int64)
     for i, row in enumerate(sorted(held, key=lambda r: r["doc_id"])):
-        x[i, [chosen[w][0] for w in row["words"]]] = 1
+        x[i, [chosen[w][0] for w in row["words"] or ()]] = 1
         toxic[i] = row["toxic"]
     marked = x[:, [i for i, m in chosen.values() if m]].sum(axis=1)
     grades = toxic + (toxic * (marked > np.median(marked[toxic == 1]))) if toxic.any() else toxic
