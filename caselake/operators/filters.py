@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def selected(values: Sequence[str] | None, sentinel_prefix: str = "All") -> list[str]:
-    """Chosen values; empty when nothing or the "All ..." sentinel is chosen."""
+# The entries that stand for no choice.
+NO_CHOICE = frozenset({"All", "All Clusters", "All Years"})
+
+
+def selected(values: Sequence[str] | None, no_choice: Collection[str] = NO_CHOICE) -> list[str]:
+    """Chosen values; empty when nothing or an entry of ``no_choice`` itself is chosen."""
     values = list(values or [])
-    if any(v == sentinel_prefix or v.startswith(sentinel_prefix + " ") for v in values):
-        return []
-    return values
+    return [] if any(v in no_choice for v in values) else values
 
 
 def optional_filters(df: DataFrame, choices: dict[str, Sequence[str] | None], exprs: dict[str, Column] | None = None) -> DataFrame:

@@ -77,7 +77,7 @@ def replace_keys(
     affected = {tuple(r) for r in places.distinct().collect()}
     if not affected:
         return
-    old = target.where(reduce(lambda a, b: a | b, [_is_partition(by, v) for v in affected]))
+    old = _of_partitions(target, by, affected)
     content = minus_keys(old, stale, keys).unionByName(source)
     _write_by(content, by).mode("overwrite").partitionBy(*by).parquet(staging)
     staged = spark.read.schema(content.schema).parquet(staging)
@@ -91,8 +91,14 @@ def _write_by(df: DataFrame, by: list[str]):
     return df.hint("rebalance", *[F.col(c) for c in by]).write
 
 
-def _is_partition(by: list[str], values: tuple) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, values)])
+def _of_partitions(target: DataFrame, by: list[str], affected: set[tuple]) -> DataFrame:
+    """Rows of the given partitions. The first column prunes folders by a value list, whose length
+    does not deepen the expression; the frame of partition values decides."""
+    first = {v[0] for v in affected}
+    listed = F.col(by[0]).isin([v for v in first if v is not None])
+    pruned = target.where(listed | F.col(by[0]).isNull() if None in first else listed)
+    values = target.sparkSession.createDataFrame(sorted(affected, key=str), target.select(*by).schema)
+    return pruned.join(_renamed(values, by), _same(by), "left_semi")
 
 
 def write_version(df: DataFrame, path: str) -> DataFrame:

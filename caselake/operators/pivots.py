@@ -34,11 +34,13 @@ def pivot_sum(
 
 
 def pivot_all(df: DataFrame, index: list[str], column: str, first: list[str], measure: str) -> DataFrame:
-    """As ``pivot_sum`` with a column for every value: known ones first, then the rest by name.
+    """As ``pivot_sum`` with a column for every value: known ones first and always, then the rest by name.
 
     Spark finds the labels in a first small query and refuses an unbounded domain.
     """
     rows = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*index, column]]))
     wide = rows.groupBy(*index).pivot(column).agg(F.sum(measure)).fillna(0)
     labels = [c for c in wide.columns if c not in index]
-    return wide.select(*index, *[v for v in first if v in labels], *sorted(v for v in labels if v not in first))
+    kind = rows.agg(F.sum(measure)).schema[0].dataType
+    known = [F.col(f"`{v}`") if v in labels else F.lit(0).cast(kind).alias(v) for v in first]
+    return wide.select(*index, *known, *[f"`{v}`" for v in sorted(v for v in labels if v not in first)])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from caselake.functions.dates import EPOCH_WATERMARK
 from caselake.operators.bronze import to_bronze
+from caselake.operators.dedup import latest_by
 from caselake.operators.joins import touched
 from caselake.operators.merge import append_checked, path_exists, read_current, replace_keys, upsert_partitions, write_version
 from caselake.operators.quality import KEYS, to_quality
@@ -73,8 +74,8 @@ class Nightly:
         if all(rows.isEmpty() for rows in fresh.values()):
             return
         cases = self._keep("touched_cases", self.touched_cases(fresh))
-        self.load_dims(fresh, cases)
-        self.load_facts(fresh, cases)
+        changed = self.load_dims(fresh, cases)
+        self.load_facts(fresh, cases, changed)
         self.build_marts(as_of)
         self.spark.createDataFrame([(loaded_at.isoformat(),)], "mark string").coalesce(1).write.mode("append").parquet(f"{self.root}/_runs")
 
@@ -95,7 +96,8 @@ class Nightly:
         path = f"{self.root}/qa/{source}"
         done = high_water_mark(self.spark.read.parquet(path), STAMP) if path_exists(self.spark, path) else EPOCH_WATERMARK
         bronze = newer_than(self.read("bronze", source).drop("_file_day"), STAMP, done)
-        rows = to_quality(bronze, source, as_of, loaded_at=_literal(loaded_at))
+        # a run that died after bronze leaves its rows to the next one: a key may then come twice
+        rows = latest_by(to_quality(bronze, source, as_of, loaded_at=_literal(loaded_at)), KEYS[source], ["_ingested_at"])
         dated = rows.withColumn("_file_day", F.to_date("_file_date"))
         # the file date is part of every key, so a key never leaves its day
         upsert_partitions(path, dated, KEYS[source], FILE_DAY, self._staging(source), fixed=True)
@@ -111,10 +113,13 @@ class Nightly:
 
     # --- star schema
 
-    def load_dims(self, fresh: dict[str, DataFrame], cases: DataFrame) -> None:
+    def load_dims(self, fresh: dict[str, DataFrame], cases: DataFrame) -> DataFrame:
+        """Replace what changed; returns the officers whose versions did."""
         officers = fresh["assignments"].select("officer_id").distinct()
         seen = touched(self.read("qa", "assignments"), officers, "officer_id")
-        self._replace("dim_officer", dims.dim_officer(seen), officers, ["officer_id"])
+        versions = self._keep("officer_versions", dims.dim_officer(seen))
+        changed = self._keep("changed_officers", self._changed(versions, officers))
+        self._replace("dim_officer", versions, officers, ["officer_id"])
         self._replace("dim_case", dims.dim_case(touched(self.read("qa", "cases"), cases, "case_pid")), cases, ["case_pid"])
         path = f"{self.root}/silver/dim_person"
         new = dims.dim_person(fresh["cases"], fresh["entities"])
@@ -123,8 +128,27 @@ class Nightly:
         rows = new if known is None else known.unionByName(new)
         identity = ["person_skey", "full_name", "gender", "date_of_birth"]
         write_version(rows.groupBy(*identity).agg(F.max("_file_date").alias("_file_date"), F.max(STAMP).alias(STAMP)), path)
-
-    def load_facts(self, fresh: dict[str, DataFrame], cases: DataFrame) -> None:
+        return changed
+
+    def _changed(self, versions: DataFrame, officers: DataFrame) -> DataFrame:
+        """Officers whose versions, and so the keys facts point to, are not those of the last load."""
+        columns = ["officer_skey", "officer_id", *dims.TRACKED_OFFICER]
+        new = versions.select(*columns)
+        if not path_exists(self.spark, f"{self.root}/silver/dim_officer"):
+            return new.select("officer_id").distinct()
+        old = touched(self.read("silver", "dim_officer"), officers, "officer_id").select(*columns)
+        return new.exceptAll(old).union(old.exceptAll(new)).select("officer_id").distinct()
+
+    def spread(self, fresh: dict[str, DataFrame], cases: DataFrame, changed: DataFrame) -> DataFrame:
+        """Touched cases, those of changed officers, and those that name a person of a name that arrived."""
+        of_officers = touched(self.read("qa", "assignments"), changed, "officer_id").select("case_pid")
+        names = fresh["entities"].select("entity_name").union(fresh["cases"].select(F.col("accused_name").alias("entity_name"))).distinct()
+        numbers = touched(self.read("qa", "entities"), names, "entity_name").select("case_no").distinct()
+        of_names = touched(self.read("qa", "cases").select("case_no", "case_pid"), numbers, "case_no").select("case_pid")
+        return self._keep("spread_cases", cases.select("case_pid").union(of_officers).union(of_names).distinct())
+
+    def load_facts(self, fresh: dict[str, DataFrame], cases: DataFrame, changed: DataFrame) -> None:
+        cases = self.spread(fresh, cases, changed)
         qa = {s: self.read("qa", s) for s in SOURCES}
         of_case = {s: touched(qa[s], cases, "case_pid") for s in ("cases", "assignments", "charges", "events")}
         numbers = of_case["cases"].select("case_no").distinct()
@@ -134,8 +158,9 @@ class Nightly:
         charges = facts.fact_case_charge(of_case["charges"], of_case["cases"], entities, self.read("silver", "dim_person"))
         self._replace("fact_case_charge", charges, cases, ["case_pid"])
 
-        # an event is recomputed when it, its officers or its case arrived
-        ids = [fresh["events"], fresh["event_officers"], of_case["events"]]
+        # an event is recomputed when it, its officers or its case arrived, or an officer's versions changed
+        attended = touched(qa["event_officers"], changed, "officer_id")
+        ids = [fresh["events"], fresh["event_officers"], of_case["events"], attended]
         events = self._keep("touched_events", reduce(DataFrame.union, [d.select("court_event_id") for d in ids]).distinct())
         event_rows = facts.fact_event_officer(
             touched(qa["events"], events, "court_event_id"), touched(qa["event_officers"], events, "court_event_id"), qa["cases"], officers

@@ -120,11 +120,9 @@ def hearing_days(
     return rows.groupBy(*keys).agg(F.sum("hearing_days").alias("hearing_days")).orderBy(*keys)
 
 
-def status_pivot(counts: DataFrame, every_label: bool = False) -> DataFrame:
-    """Offence groups x status labels, labels in display order, unexpected ones last."""
-    if every_label:
-        return pivot_all(counts, ["offence_type"], "case_status", STATUS_LABELS, "case_count")
-    return pivot_sum(counts, ["offence_type"], "case_status", STATUS_LABELS, "case_count", other="Other")
+def status_pivot(counts: DataFrame) -> DataFrame:
+    """Offence groups x status labels, labels in display order, unexpected ones last, each a column of its own."""
+    return pivot_all(counts, ["offence_type"], "case_status", STATUS_LABELS, "case_count")
 
 
 def yearly_status_pivot(yearly: DataFrame, offence_type: str | None = None) -> DataFrame:
@@ -171,20 +169,23 @@ def ongoing_case_list(
     officer_fact: DataFrame,
     officers: DataFrame,
     qa_events: DataFrame,
+    qa_event_officers: DataFrame,
     columns: Sequence[str] | None = None,
     filters: dict[str, Sequence[str] | None] | None = None,
 ) -> DataFrame:
-    """Pending cases, one row per assigned officer and scheduled event."""
+    """Pending cases, one row per assigned officer and scheduled event the officer attends; without such an event, one row."""
     pending = latest_cases(qa_cases).where(F.col("case_status") == "PEND").select("case_pid", F.col("case_no").alias("CaseID"))
-    assigned = officer_fact.where(F.col("assigned_to_date").isNull()).select("case_pid", "officer_skey", "case_officer_skey")
+    assigned = officer_fact.where(F.col("assigned_to_date").isNull()).select("case_pid", "officer_id", "officer_skey")
     who = officers.select("officer_skey", F.col("officer_cluster").alias("Cluster"), F.col("full_name").alias("DPPName"))
-    events = current_events(qa_events).select(
+    seats = valid(qa_event_officers).select("court_event_id", "officer_id").distinct()
+    events = current_events(qa_events).join(seats, "court_event_id").select(
         "case_pid",
+        "officer_id",
         F.col("court_event_type").alias("CourtEventType"),
         F.date_format(parse_timestamp("start_datetime"), "yyyy-MM-dd HH:mm:ss").alias("CourtDateTime"),
         F.col("court_number").alias("CourtNo"),
     )
-    rows = pending.join(assigned, "case_pid").join(who, "officer_skey", "left").join(events, "case_pid", "left")
+    rows = pending.join(assigned, "case_pid").join(who, "officer_skey", "left").join(events, ["case_pid", "officer_id"], "left")
     return choose(rows.select(*CASE_LIST_COLUMNS), columns, filters)
 
 

@@ -48,8 +48,12 @@ def lake(spark: SparkSession, folder: str) -> CaseLake:
 def fingerprint(spark: SparkSession, folder: str) -> str:
     """Names, sizes and times of the input files (a directory listing, no data)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return str(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in listed))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return str(sorted(found))
 
 
 def register(name: str):
@@ -78,7 +82,7 @@ for _source in SOURCES:
     _built(f"bronze_{_source}")
     _built(f"qa_{_source}")
 for _table in (
-    "dim_date dim_person dim_officer dim_case assignment_history fact_event_officer fact_case_charge fact_case_officer "
+    "dim_person dim_officer dim_case assignment_history fact_event_officer fact_case_charge fact_case_officer "
     "case_officer_workload case_offence_distribution event_offence_hearing_days report_fields"
 ).split():
     _built(_table)
@@ -127,6 +131,24 @@ def dim_officer_first_load(c: CaseLake) -> DataFrame:
     return dims.officers_as_first_loaded(c.table("qa_assignments"), c.as_of)
 
 
+@register("dim_date")
+def dim_date(c: CaseLake) -> DataFrame:
+    """The calendar with the events and orders of each day, summed per day before the join."""
+    days = c.build("dim_date")
+    for table, column, name in (("events", "ts", "events"), ("orders", "o_orderdate", "orders")):
+        counts = c.landing.base(table).groupBy(F.to_date(column).alias("full_date")).agg(F.count(F.lit(1)).alias(name))
+        days = days.join(counts, "full_date", "left").fillna(0, [name])
+    return days
+
+
+@register("workday_activity")
+def workday_activity(c: CaseLake) -> DataFrame:
+    """Events per reporting month, on workdays and other days."""
+    days = c.build("dim_date").select("full_date", "reporting_month", "is_workday")
+    events = c.landing.base("events").groupBy(F.to_date("ts").alias("full_date")).agg(F.count(F.lit(1)).alias("n"))
+    return events.join(days, "full_date").groupBy("reporting_month", "is_workday").agg(F.sum("n").alias("events"))
+
+
 @register("people_union")
 def people_union(c: CaseLake) -> DataFrame:
     return dims.people(c.table("qa_cases"), c.table("qa_entities")).select("full_name", "gender", "date_of_birth").distinct()
@@ -276,7 +298,7 @@ def _both_types(c: CaseLake, **options) -> DataFrame:
 register("filter_values")(lambda c: serve.filter_values(_distribution(c)))
 register("offence_status_counts")(lambda c: serve.offence_status_counts(_distribution(c)))
 register("offence_status_filtered")(
-    lambda c: serve.offence_status_counts(_distribution(c), clusters=["ASIA", "EUROPE"], years=["2024"], groups=["Hurt", "UNKNOWN"])
+    lambda c: serve.offence_status_counts(_distribution(c), clusters=["ASIA", "EUROPE", "All Saints"], years=["2024"], groups=["Hurt", "UNKNOWN"])
 )
 register("offence_status_yearly")(lambda c: serve.offence_status_yearly(_distribution(c)))
 register("offence_status_pivot")(lambda c: serve.status_pivot(serve.offence_status_counts(_distribution(c))))
@@ -298,7 +320,7 @@ register("workload_by_officer")(lambda c: serve.workload(c.table("case_officer_w
 
 
 def _ongoing(c: CaseLake, **options) -> DataFrame:
-    return serve.ongoing_case_list(c.table("qa_cases"), c.table("fact_case_officer"), c.table("dim_officer"), c.table("qa_events"), **options)
+    return serve.ongoing_case_list(c.table("qa_cases"), c.table("fact_case_officer"), c.table("dim_officer"), c.table("qa_events"), c.table("qa_event_officers"), **options)
 
 
 register("ongoing_case_list")(lambda c: _ongoing(c))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.plans.reports import PENAL_CODE_GROUPS, STATUTE_GROUPS
+
 
 class Landing:
     """Landing tables by source name over one folder of parquet files."""
@@ -193,8 +195,10 @@ class Landing:
         """One semi-structured report text per charge."""
         key, cust = F.col("o_orderkey"), F.col("c_custkey")
         nl = "\n"
-        statute = F.when(key % 4 == 0, "Road Traffic Act 1961").when(key % 4 == 1, "Women's Charter 1961").when(key % 4 == 2, "Penal Code 1871").otherwise("Unmapped Act")
-        section = F.when(key % 8 == 2, "377BB(7)").when(key % 8 == 6, "379").otherwise("64(1)")
+        mapped = F.concat(_one_of(list(STATUTE_GROUPS), F.floor(key / 4)), F.lit(" 1961"))
+        statute = F.when(key % 4 < 2, mapped).when(key % 4 == 2, "Penal Code 1871").otherwise("Unmapped Act")
+        listed = _one_of(list(PENAL_CODE_GROUPS), F.floor(key / 4))
+        section = F.when(key % 8 == 2, F.concat(listed, F.lit("(7)"))).when(key % 8 == 6, listed).otherwise("64(1)")
         victim = F.concat(
             F.lit("### **Victim Particulars**\n* **Name:** victim "),
             F.col("o_custkey").cast("string"),
@@ -236,7 +240,7 @@ class Landing:
             F.lit('{"case":"'),
             _full_case_no(),
             F.lit('"'),
-            F.when(key % 11 == 0, "").otherwise(F.concat(F.lit(',"charge":"DAC-'), F.lpad(key.cast("string"), 6, "0"), F.lit('-2023"'))),
+            F.when(key % 11 == 0, "").otherwise(F.concat(F.lit(',"charge":"DAC-'), _six_digits(key), F.lit('-2023"'))),
             F.lit(',"accused_name":"'),
             F.lower("c_name"),
             F.lit('","accused_age":'),
@@ -258,12 +262,23 @@ class Landing:
         return l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
 
 
+def _one_of(values: list[str], number: Column) -> Column:
+    """Every value in turn."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
+
+
 def _month(c: str) -> Column:
     return F.trunc(c, "month").cast("timestamp_ntz")
 
 
+def _six_digits(number: Column) -> Column:
+    """At least six digits; longer numbers stay whole."""
+    text = number.cast("string")
+    return F.when(F.length(text) < 6, F.lpad(text, 6, "0")).otherwise(text)
+
+
 def _full_case_no() -> Column:
-    return F.concat(F.lit("SC-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"), F.lit("-"), F.year("o_orderdate").cast("string"))
+    return F.concat(F.lit("SC-"), _six_digits(F.col("o_orderkey")), F.lit("-"), F.year("o_orderdate").cast("string"))
 
 
 def _case_no() -> Column:
@@ -277,7 +292,7 @@ def _gender() -> Column:
 
 def _charge_no() -> Column:
     kind = F.when(F.col("l_returnflag") == "N", "DAC").when(F.col("l_returnflag") == "A", "MAC").otherwise("MCN")
-    number = F.lpad((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string"), 6, "0")
+    number = _six_digits(F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     return F.concat(kind, F.lit("-"), number, F.lit("-2023")).alias("chargeno")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from caselake.sources.registry import seed_rows
+
 import re
 
 TODAY = "DATE '2026-01-01'"
@@ -40,9 +42,9 @@ def to_date(text: str) -> str:
 SHIPPED = "CAST(NULL AS VARCHAR) AS _rescued_data, '{0}' AS _source_file, date_trunc('month', l_shipdate)::TIMESTAMP AS _file_date, l_shipdate AS _ingested_at"
 CHARGE_NO = (
     "CASE WHEN l_returnflag = 'N' THEN 'DAC' WHEN l_returnflag = 'A' THEN 'MAC' ELSE 'MCN' END || '-' || "
-    "lpad(CAST(l_orderkey * 8 + l_linenumber AS VARCHAR), 6, '0') || '-2023'"
+    "lpad(CAST(l_orderkey * 8 + l_linenumber AS VARCHAR), CAST(greatest(6, length(CAST(l_orderkey * 8 + l_linenumber AS VARCHAR))) AS INTEGER), '0') || '-2023'"
 )
-CASE_NO = "'SC-' || lpad(CAST(o.o_orderkey AS VARCHAR), 6, '0') || '-' || CAST(year(o.o_orderdate) AS VARCHAR)"
+CASE_NO = "'SC-' || lpad(CAST(o.o_orderkey AS VARCHAR), CAST(greatest(6, length(CAST(o.o_orderkey AS VARCHAR))) AS INTEGER), '0') || '-' || CAST(year(o.o_orderdate) AS VARCHAR)"
 
 PARTS: dict[str, str] = {}
 
@@ -103,11 +105,43 @@ SELECT CAST(e.event_id AS VARCHAR) AS courteventid, CAST(s.s_suppkey AS VARCHAR)
 FROM events e JOIN (SELECT 0 AS seat UNION ALL SELECT 1 AS seat) k ON k.seat = 0 OR e.event_id % 3 = 0
 JOIN supplier s ON s.s_suppkey = (e.user_id + k.seat * 7) % (SELECT count(*) FROM supplier) JOIN nation n ON s.s_nationkey = n.n_nationkey"""
 
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+# Statute keyword and its offence group.
+KEYWORDS = [
+    ('Road Traffic Act', 'Traffic Offences'),
+    ('Misuse of Drugs Act', 'Drug Offences'),
+    ('Prevention of Corruption Act', 'Corruption'),
+    ("Women's Charter", 'Vice Activities'),
+    ('Arms Offences Act', 'Weapons Offences'),
+    ('Corrosive and Explosive Substances', 'Weapons Offences'),
+    ('Moneylenders Act', 'Moneylending Offences'),
+    ('Immigration Act', 'Immigration Offences'),
+    ('Computer Misuse Act', 'Computer Crimes'),
+    ('Protection from Harassment Act', 'Harassment'),
+    ('Massage Establishments Act', 'Vice Activities in Massage Parlours'),
+    ('Employment of Foreign Manpower Act', 'Immigration Offences'),
+    ('Miscellaneous Offences', 'Public Order Offences'),
+    ('Public Order Act', 'Public Order Offences'),
+    ('Societies Act', 'Public Order Offences'),
+    ('Vandalism Act', 'Mischief'),
+    ('Films Act', 'Vice Activities'),
+]
+KEYWORD_CASE = " ".join(f"WHEN contains(lower(statute), lower({quoted(k)})) THEN '{g}'" for k, g in KEYWORDS)
+
+SECTIONS = [(r["section"], r["offence_group"]) for r in seed_rows("penal_code_sections")]
+SECTION_CASE = " ".join(f"WHEN '{k}' THEN '{g}'" for k, g in SECTIONS)
+STATUTE_OF = f"[{', '.join(quoted(k) for k, _ in KEYWORDS)}][o.o_orderkey // 4 % {len(KEYWORDS)} + 1] || ' 1961'"
+SECTION_OF = f"[{', '.join(quoted(k) for k, _ in SECTIONS)}][o.o_orderkey // 4 % {len(SECTIONS)} + 1]"
+
 PARTS["landing_reports"] = f"""
 SELECT c.chargeno AS charge, '**Charge Details** (' || {CASE_NO} || ' / ' || c.chargeno || ')' || chr(10)
        || '* **Name:** ' || lower(cu.c_name) || chr(10) || '* **Gender/Age:** ' || CASE WHEN cu.c_custkey % 2 = 0 THEN 'MALE' ELSE 'FEMALE' END || ' / ' || CAST(cu.c_custkey % 130 AS VARCHAR) || ' YEARS' || chr(10)
-       || '* **Statute:** ' || CASE WHEN o.o_orderkey % 4 = 0 THEN 'Road Traffic Act 1961' WHEN o.o_orderkey % 4 = 1 THEN 'Women''s Charter 1961' WHEN o.o_orderkey % 4 = 2 THEN 'Penal Code 1871' ELSE 'Unmapped Act' END || chr(10)
-       || '* **Offence:** Section ' || CASE WHEN o.o_orderkey % 8 = 2 THEN '377BB(7)' WHEN o.o_orderkey % 8 = 6 THEN '379' ELSE '64(1)' END || chr(10)
+       || '* **Statute:** ' || CASE WHEN o.o_orderkey % 4 < 2 THEN {STATUTE_OF} WHEN o.o_orderkey % 4 = 2 THEN 'Penal Code 1871' ELSE 'Unmapped Act' END || chr(10)
+       || '* **Offence:** Section ' || CASE WHEN o.o_orderkey % 8 = 2 THEN {SECTION_OF} || '(7)' WHEN o.o_orderkey % 8 = 6 THEN {SECTION_OF} ELSE '64(1)' END || chr(10)
        || '### **Statement of Offence**' || chr(10) || 'At a ' || CASE WHEN o.o_orderkey % 3 = 0 THEN 'massage' ELSE 'retail' END || ' outlet.' || chr(10)
        || CASE WHEN o.o_orderkey % 7 = 0 THEN '* **Special Type:** Family Violence' || chr(10) ELSE '' END
        || CASE WHEN o.o_orderkey % 5 = 0 THEN '### **Victim Particulars**' || chr(10) || '* **Name:** victim ' || CAST(o.o_custkey AS VARCHAR) || chr(10) || '* **Gender/Age:** FEMALE / 30 YEARS' || chr(10) || '* **Relationship to Accused:** Self' || chr(10) ELSE '' END AS text
@@ -129,7 +163,7 @@ PARTS["landing_answers"] = f"""
 SELECT doc_id, CASE WHEN k % 17 = 0 THEN 'Sorry, no answer.' WHEN k % 3 = 0 THEN 'Here:' || chr(10) || '```json' || chr(10) || body || chr(10) || '```' || chr(10) || 'done'
                     WHEN k % 3 = 1 THEN '```' || chr(10) || body || chr(10) || '```' ELSE body END AS answer
 FROM (SELECT o.o_orderkey AS k, 'DOC-' || CAST(o.o_orderkey AS VARCHAR) AS doc_id,
-             '{{"case":"' || {CASE_NO} || '"' || CASE WHEN o.o_orderkey % 11 = 0 THEN '' ELSE ',"charge":"DAC-' || lpad(CAST(o.o_orderkey AS VARCHAR), 6, '0') || '-2023"' END
+             '{{"case":"' || {CASE_NO} || '"' || CASE WHEN o.o_orderkey % 11 = 0 THEN '' ELSE ',"charge":"DAC-' || lpad(CAST(o.o_orderkey AS VARCHAR), CAST(greatest(6, length(CAST(o.o_orderkey AS VARCHAR))) AS INTEGER), '0') || '-2023"' END
              || ',"accused_name":"' || lower(c.c_name) || '","accused_age":' || CASE WHEN o.o_orderkey % 13 = 0 THEN 'null' ELSE CAST(o.o_orderkey % 80 + 7 AS VARCHAR) END
              || ',"accused_gender":"M","offence_group":"Hurt","special_type":""'
              || CASE WHEN o.o_orderkey % 5 = 0 THEN ',"victim_name":"jane o''neil","victim_age":30,"victim_gender":"F","victim_relationship_to_accused":"Neighbour"' ELSE '' END || '}}' AS body
@@ -389,16 +423,6 @@ FROM event_offence_hearing_days WHERE case_type IN ('PG', 'Trial')"""
 VICTIM_BLOCK = "split_part(split_part(text, '### **Victim Particulars**', 2), '###', 1)"
 STATEMENT = "split_part(text, '### **Statement of Offence**', 2)"
 
-KEYWORDS = [
-    ("road traffic act", "Traffic Offences"), ("misuse of drugs act", "Drug Offences"), ("prevention of corruption act", "Corruption"), ("women''s charter", "Vice Activities"),
-    ("arms offences act", "Weapons Offences"), ("corrosive and explosive substances", "Weapons Offences"), ("moneylenders act", "Moneylending Offences"),
-    ("immigration act", "Immigration Offences"), ("computer misuse act", "Computer Crimes"), ("protection from harassment act", "Harassment"),
-    ("massage establishments act", "Vice Activities in Massage Parlours"), ("employment of foreign manpower act", "Immigration Offences"),
-    ("miscellaneous offences", "Public Order Offences"), ("public order act", "Public Order Offences"), ("societies act", "Public Order Offences"),
-    ("vandalism act", "Mischief"), ("films act", "Vice Activities"),
-]
-KEYWORD_CASE = " ".join(f"WHEN contains(lower(statute), '{k}') THEN '{g}'" for k, g in KEYWORDS)
-
 PARTS["report_parts"] = rf"""
 SELECT charge, nullif(regexp_extract(text, 'Charge Details.*?\((SC-\d+-\d+)\s*/\s*(\S+)\)', 1), '') AS "case",
        nullif(trim(regexp_extract(text, '\*\*Name:\*\*\s*(.+)', 1)), '') AS accused_name,
@@ -417,7 +441,7 @@ FROM landing_reports"""
 PARTS["report_fields"] = rf"""
 SELECT * EXCLUDE (statement, by_keyword), CASE WHEN by_keyword = 'Vice Activities' AND contains(statement, 'massage') THEN 'Vice Activities in Massage Parlours'
        WHEN by_keyword IS NOT NULL THEN by_keyword
-       WHEN contains(lower(statute), 'penal code') THEN CASE regexp_replace(offence_section, '\(.*\)', '') WHEN '377BB' THEN 'Voyeurism/Sexual Exposure' WHEN '379' THEN 'Theft' END END AS offence_group
+       WHEN contains(lower(statute), 'penal code') THEN CASE regexp_replace(offence_section, '\(.*\)', '') {SECTION_CASE} END END AS offence_group
 FROM (SELECT *, CASE {KEYWORD_CASE} END AS by_keyword FROM report_parts)"""
 
 TITLE = "array_to_string(list_transform(regexp_extract_all(lower({0}), '([\\p{{Ll}}]+|[^\\p{{Ll}}]+)', 1), lambda x: upper(x[1]) || x[2:]), '')"

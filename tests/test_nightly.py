@@ -14,7 +14,7 @@ from caselake.sources.fixtures import Landing
 from tests.conftest import as_rows
 
 AS_OF = dt.date(2026, 1, 1)
-CUT = "1998-06-01 00:00:00"
+CUT = "1998-01-01 00:00:00"  # before officers move, so that the second load changes their versions
 TABLES = ["dim_person", "dim_case", "dim_officer", "fact_event_officer", "fact_case_charge", "fact_case_officer"]
 MARTS = ["case_officer_workload", "case_offence_distribution", "event_offence_hearing_days"]
 

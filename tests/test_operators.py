@@ -225,6 +225,7 @@ def test_a_table_can_be_rebuilt_from_itself(spark, tmp_path):
 
 def test_filters_and_choice(spark):
     df = spark.createDataFrame([("a", "2024"), ("b", "2025"), (None, "2025")], "c string, y string")
+    assert selected(["All Saints"]) == ["All Saints"]
     assert selected(["All Clusters", "a"]) == [] and selected(None) == [] and selected(["a"]) == ["a"]
     assert optional_filters(df, {"c": ["All Clusters"], "y": []}).count() == 3
     assert as_rows(optional_filters(df, {"c": ["a", "b"], "y": ["2025"]})) == [("b", "2025")]
@@ -247,3 +248,11 @@ def test_checks_return_failing_rows(spark):
     assert checks.passes(checks.unique_column(df.where("n > 1"), "k"))
     assert as_rows(checks.relationships(df, "k", spark.createDataFrame([("a",)], "id string"), "id")) == [("c", "3")]
     assert as_rows(checks.accepted_values(df, "k", ["c"])) == [("2", "a")]
+
+
+def test_many_partitions_do_not_deepen_the_filter(spark):
+    from caselake.operators.merge import _of_partitions
+
+    target = spark.range(6000).select("id", (F.col("id") % 3000).cast("string").alias("p"), (F.col("id") % 2).alias("q"))
+    wanted = {(str(i), i % 2) for i in range(0, 4000, 2)}
+    assert _of_partitions(target, ["p", "q"], wanted).count() == sum((str(i % 3000), i % 2) in wanted for i in range(6000))

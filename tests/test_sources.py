@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselake.sources import documents, files, tables
+from caselake.sources.fixtures import Landing
 from caselake.sources.registry import FILE_FORMATS, load_registry, seed
 from caselake.streaming import landing
 from tests.conftest import as_rows
@@ -160,3 +161,9 @@ def test_partitioned_write_cuts_a_dominant_value(spark, tmp_path):
     df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise("cold").alias("p"), "id")
     tables.write_partitioned(df, str(tmp_path / "t"), ["p"])
     assert as_rows(spark.read.parquet(str(tmp_path / "t")).groupBy("p").count()) == [("100", "cold"), ("900", "hot")]
+
+
+def test_long_charge_numbers_stay_apart(spark):
+    """At this size charge numbers have seven digits; none may be cut to six."""
+    charges = Landing(spark, "/root/testdata/sf0.1").charges()
+    assert charges.select("pid", "chargeno").distinct().count() == 546_208
