@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 #: Pieces and words a worker remembers before it starts afresh: about 200 MB.
 REMEMBERED = 1_000_000
 #: Characters that are cut at once: bounds what a batch takes besides its texts.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 ID_BYTES = array("I").itemsize
 
