@@ -8,7 +8,9 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from caselake.operators.watermark import newer_than
+from caselake.queries import QUERIES
 from caselake.sources.fixtures import Landing
+from oracle.queries import ORACLE
 from tools.check import compare, connect
 
 CHECKED = (
@@ -30,7 +32,8 @@ def test_query_equals_sql(spark, con, folder, name):
 
 
 def test_every_query_has_sql_and_the_other_way_round():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
 def test_entry_runs(spark):
