@@ -73,6 +73,9 @@ def _pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool]]]]:
     """(name, parts of its value as (text, start, end, quoted)) in order."""
     found = [*PAIR.finditer(text), *ELEMENT.finditer(text)]
     for m in sorted(found, key=lambda m: m.start("value")):
+        if m.re is ELEMENT:  # what stands between the tags is the literal, whatever its characters
+            yield m["name"], [(m["value"], m.start("value"), m.end("value"), True)]
+            continue
         parts = []
         for p in PART.finditer(text, m.start("value"), m.end("value")):
             quoted = p.lastgroup == "quoted"
