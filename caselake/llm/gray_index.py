@@ -12,11 +12,16 @@ that are already in one component are left out, too.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 LEAF = 32
 FANOUT = 8
 
+#: Whether pairs of positions, near enough in their codes, are links.
+Accept = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
     """Position of each code in the reflected Gray sequence."""
@@ -67,7 +72,7 @@ def _levels(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
     return levels
 
 
-def _leaf_links(codes: np.ndarray, ends: np.ndarray, radius: int, forest: Forest) -> None:
+def _leaf_links(codes: np.ndarray, ends: np.ndarray, radius: int, forest: Forest, accept: Accept | None) -> None:
     """Links between fingerprints of one leaf; ``ends`` is where the leaf of each stops."""
     at = np.arange(len(codes))
     left, right = [], []
@@ -76,14 +81,19 @@ def _leaf_links(codes: np.ndarray, ends: np.ndarray, radius: int, forest: Forest
         if not len(a):
             break
         a = a[differing(codes[a], codes[a + step]) <= radius]
+        if accept:
+            a = a[accept(a, a + step)]
         left.append(a)
         right.append(a + step)
     if left:
         forest.join(np.concatenate(left), np.concatenate(right))
 
 
-def components(codes: np.ndarray, buckets: np.ndarray, radius: int) -> np.ndarray:
-    """For codes sorted by bucket and Gray rank: the index of the first code of its component inside its bucket."""
+def components(codes: np.ndarray, buckets: np.ndarray, radius: int, accept: Accept | None = None) -> np.ndarray:
+    """For codes sorted by bucket and Gray rank: the index of the first code of its component inside its bucket.
+
+    Without ``accept`` all codes within the radius are links, else those of them it accepts.
+    """
     n = len(codes)
     forest = Forest(n)
     if not n:
@@ -93,13 +103,13 @@ def components(codes: np.ndarray, buckets: np.ndarray, radius: int) -> np.ndarra
     bucket_start = np.repeat(starts, sizes)
     at = np.arange(n)
     leaf_end = np.minimum(bucket_start + ((at - bucket_start) // LEAF + 1) * LEAF, np.repeat(starts + sizes, sizes))
-    _leaf_links(codes, leaf_end, radius, forest)
+    _leaf_links(codes, leaf_end, radius, forest, accept)
     for start, size in zip(starts[sizes > LEAF], sizes[sizes > LEAF]):
-        _descend(codes[start : start + size], int(start), radius, forest)
+        _descend(codes[start : start + size], int(start), radius, forest, accept)
     return forest.parent
 
 
-def _descend(codes: np.ndarray, offset: int, radius: int, forest: Forest) -> None:
+def _descend(codes: np.ndarray, offset: int, radius: int, forest: Forest, accept: Accept | None) -> None:
     """Links between different leaves of one bucket."""
     levels = _levels(codes)
     top = len(levels) - 1
@@ -117,7 +127,7 @@ def _descend(codes: np.ndarray, offset: int, radius: int, forest: Forest) -> Non
         a, b, acc, known = a[keep], b[keep], acc[keep], shared[keep]
         if level:
             a, b, acc, known = _children(a, b, acc, known, len(levels[level - 1][0]))
-    _across(codes, a[a < b], b[a < b], offset, radius, forest)
+    _across(codes, a[a < b], b[a < b], offset, radius, forest, accept)
 
 
 def _single_roots(first: np.ndarray, n: int, offset: int, forest: Forest) -> np.ndarray:
@@ -136,19 +146,26 @@ def _children(a, b, acc, known, n: int):
     return i[keep], j[keep], acc[keep], known[keep]
 
 
-def _across(codes: np.ndarray, a: np.ndarray, b: np.ndarray, offset: int, radius: int, forest: Forest, batch: int = 2048) -> None:
-    """Compare surviving pairs of leaves code by code, a batch at a time."""
+def _across(codes: np.ndarray, a: np.ndarray, b: np.ndarray, offset: int, radius: int, forest: Forest, accept: Accept | None, batch: int = 512) -> None:
+    """Compare surviving pairs of leaves code by code, a batch at a time.
+
+    Pairs that earlier batches have put into one component are left out; all that
+    remain are looked through again whenever as many batches have passed as before.
+    """
     n, step = len(codes), np.arange(LEAF)
-    for k in range(0, len(a), batch):
-        i, j = a[k : k + batch], b[k : k + batch]
-        roots = forest.parent[offset : offset + n]
-        first = np.arange(0, n, LEAF)
-        low, high = np.minimum.reduceat(roots, first), np.maximum.reduceat(roots, first)
-        apart = ~((low[i] == high[i]) & (low[i] == low[j]) & (low[j] == high[j]))
-        i, j = i[apart], j[apart]
-        if not len(i):
-            continue
+    first = np.arange(0, n, LEAF)
+    done, look = 0, 0
+    while len(a):
+        if done >= look:
+            single = _single_roots(first, n, offset, forest)
+            apart = (single[a] < 0) | (single[a] != single[b])
+            a, b, look = a[apart], b[apart], 2 * done + 1
+        i, j, a, b, done = a[:batch], b[:batch], a[batch:], b[batch:], done + 1
         x, y = np.minimum(i[:, None] * LEAF + step, n - 1), np.minimum(j[:, None] * LEAF + step, n - 1)
         near = differing(codes[x][:, :, None], codes[y][:, None, :]) <= radius
         p, q, r = np.nonzero(near)
-        forest.join(offset + x[p, q], offset + y[p, r])
+        left, right = offset + x[p, q], offset + y[p, r]
+        if accept:
+            kept = accept(left, right)
+            left, right = left[kept], right[kept]
+        forest.join(left, right)

@@ -95,62 +95,71 @@ def masks(radius: int) -> list[int]:
     return [bits[a] | bits[b] | bits[c] for a, b, c in triples(blocks)]
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def _gray(fp: Column) -> Column:
+def gray(fp: Column) -> Column:
     """Gray rank, shifted so that signed order is rank order."""
     for shift in (1, 2, 4, 8, 16, 32):
         fp = fp.bitwiseXOR(F.shiftrightunsigned(fp, shift))
     return fp.bitwiseXOR(F.lit(-(1 << 63)))
 
 
+def table_masks(radius: int) -> list[int]:
+    """``masks`` as signed longs."""
+    return [m - (1 << 64) if m >> 63 else m for m in masks(radius)]
+
+
+def paged(dealt: DataFrame, page: int, carried: list[str]) -> DataFrame:
+    """bucket, i, j, fp and ``carried`` of rows (t, key, fp, carried) whose bucket holds another one.
+
+    ``carried`` tells rows apart; rows of a large bucket are dealt into pages by its
+    first column, or by fp without any, and every pair of pages (i, j) is a unit.
+    """
+    pages = dealt.groupBy("t", "key").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
+    pages = pages.select("t", "key", F.ceil(F.col("cnt") / page).cast("int").alias("pages"))
+    mine = F.pmod(F.xxhash64((carried or ["fp"])[0], F.lit(1)), F.col("pages")).cast("int")
+    rows = dealt.join(pages, ["t", "key"]).select(F.xxhash64("t", "key").alias("bucket"), "fp", *carried, "pages", mine.alias("mine"))
+    rows = rows.select("bucket", "fp", *carried, "mine", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("other"))
+    return rows.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "fp", *carried)
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, page: int = PAGE) -> DataFrame:
     """Links (a, b) between fingerprints whose components are those of all pairs within ``radius``."""
     spark = distinct.sparkSession
-    every = [_signed(m) for m in masks(radius)]
-    tables = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in every])).alias("t", "key")
-    dealt = distinct.select("fp", tables)
-    pages = dealt.groupBy("t", "key").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
-    pages = pages.select("t", "key", F.ceil(F.col("cnt") / page).cast("int").alias("pages"))
-    mine = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("pages")).cast("int")
-    rows = dealt.join(pages, ["t", "key"]).select(F.xxhash64("t", "key").alias("bucket"), "fp", "pages", mine.alias("mine"))
-    rows = rows.select("bucket", "fp", "mine", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("other"))
-    rows = rows.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "fp")
+    tables = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in table_masks(radius)])).alias("t", "key")
+    rows = paged(distinct.select("fp", tables), page, [])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for codes, units in _whole_units(batches):
+        for units, fps in whole_units(batches, ["fp"]):
+            codes = fps.view(np.uint64)
             first = gray_index.components(codes, units, radius)
             linked = np.flatnonzero(first != np.arange(len(first)))
             yield pa.RecordBatch.from_pydict({"a": codes[linked].view(np.int64), "b": codes[first[linked]].view(np.int64)}, LINKS)
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    units = rows.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", _gray(F.col("fp")))
+    units = rows.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", gray(F.col("fp")))
     return units.mapInArrow(find, "a long, b long")
 
 
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _whole_units(batches: Iterator[pa.RecordBatch], least: int = 100_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Codes and unit numbers of whole units, some at a time; a unit is at most two pages."""
+def whole_units(batches: Iterator[pa.RecordBatch], columns: list[str], least: int = 100_000) -> Iterator[list[np.ndarray]]:
+    """Unit numbers and the columns of whole units, some at a time; a unit is at most two pages."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "fp")))
+        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", *columns)))
         size += len(batch)
         if size < least:
             continue
-        bucket, i, j, fp = (np.concatenate(c) for c in zip(*held))
+        bucket, i, j, *rest = (np.concatenate(c) for c in zip(*held))
         last = (bucket == bucket[-1]) & (i == i[-1]) & (j == j[-1])
         cut = size - int(last[::-1].argmin()) if not last.all() else 0
         if cut:
-            yield fp[:cut].view(np.uint64), _numbered(bucket[:cut], i[:cut], j[:cut])
-        held, size = [(bucket[cut:], i[cut:], j[cut:], fp[cut:])], size - cut
+            yield [_numbered(bucket[:cut], i[:cut], j[:cut]), *(c[:cut] for c in rest)]
+        held, size = [(bucket[cut:], i[cut:], j[cut:], *(c[cut:] for c in rest))], size - cut
     if size:
-        bucket, i, j, fp = (np.concatenate(c) for c in zip(*held))
-        yield fp.view(np.uint64), _numbered(bucket, i, j)
+        bucket, i, j, *rest = (np.concatenate(c) for c in zip(*held))
+        yield [_numbered(bucket, i, j), *rest]
 
 
 def _numbered(*keys: np.ndarray) -> np.ndarray:

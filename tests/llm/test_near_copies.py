@@ -1,0 +1,94 @@
+"""Near copies against the exact similarity of all pairs of a small table."""
+
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from caselake.llm import near_copies, simhash
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def similarity(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def families(seed=7):
+    """Texts of 60 to 600 words, and copies with ever more words changed."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    texts = []
+    for _ in range(40):
+        words = rng.choices(vocabulary, k=rng.randrange(60, 600))
+        texts.append(" ".join(words))
+        for share in (0.005, 0.01, 0.02, 0.06, 0.12):
+            edited = [rng.choice(vocabulary) if rng.random() < share else w for w in words]
+            texts.append(" ".join(edited))
+    return texts
+
+
+def grouped(df):
+    return {r["doc_id"]: r["component_id"] for r in df.collect()}
+
+
+def test_near_copies_are_the_similar_pairs(spark, docs):
+    texts = families()
+    got = grouped(near_copies.near_copies(docs(list(enumerate(texts)))))
+    close, apart = [], []
+    for a, b in combinations(range(len(texts)), 2):
+        s = similarity(texts[a], texts[b]) if a // 6 == b // 6 else 0.0
+        (close if s >= 0.8 else apart if s < 0.3 else []).append((a, b))
+    linked = [got[a] == got[b] for a, b in close]
+    assert len(close) > 80 and sum(linked) >= 0.95 * len(linked)
+    assert not any(got[a] == got[b] for a, b in apart)
+    assert all(got[d] <= d for d in got)
+
+
+@pytest.mark.parametrize("page", [3, 50, 20_000])
+def test_links_hold_whatever_the_page(spark, docs, page):
+    every = near_copies.signatures(docs(list(enumerate(families(3)[:90])))).drop("doc_id").distinct()
+    rows = {r["node"]: np.array([r[n] for n in near_copies.NAMES], np.int64).view(np.uint64) for r in every.collect()}
+    want = set()
+    for a, b in combinations(rows, 2):
+        bits = np.bitwise_count(rows[a] ^ rows[b])
+        if bits[: near_copies.SEEDS].min() <= simhash.RADIUS and bits[near_copies.SEEDS :].sum() <= near_copies.allowed_bits():
+            want.add((a, b))
+    found = {(r["a"], r["b"]) for r in near_copies.links(every, page=page).collect()}
+    assert roots(rows, found) == roots(rows, want)
+
+
+def roots(nodes, pairs):
+    up = {n: n for n in nodes}
+    for a, b in pairs:
+        old, new = up[a], up[b]
+        up = {n: new if r == old else r for n, r in up.items()}
+    groups = {}
+    for n, r in up.items():
+        groups.setdefault(r, set()).add(n)
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_near_copies_of_odd_rows(spark, odd, nothing):
+    got = sorted(map(tuple, near_copies.near_copies(odd).collect()), key=str)
+    assert (1, 1) in got and (2, 1) in got and (3, 1) in got and (8, 1) in got
+    assert got.count((6, 5)) == 2 and (5, 5) in got
+    assert (4, 4) in got and (7, 7) in got and (None, None) in got
+    assert near_copies.near_copies(nothing).count() == 0
+
+
+def test_signature_counts_every_shingle():
+    text = " ".join(f"w{i % 9000}" for i in range(20_000))
+    hashes = np.arange(1, 20_001, dtype=np.uint64) * near_copies.SPREAD
+    mixed = near_copies._mixed(hashes ^ near_copies.STEPS[2])
+    bits = [sum(int(m) >> b & 1 for m in mixed) for b in (0, 7, 8, 63)]
+    voted = int(near_copies._voted(hashes)[2])
+    assert [voted >> b & 1 for b in (0, 7, 8, 63)] == [int(2 * n > len(hashes)) for n in bits]
+    assert len(near_copies.signature(text)) == len(near_copies.NAMES) and not near_copies.signature(" \n").any()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from caselake.llm import decontaminate, mixing, simhash, toxicity
+from caselake.llm import decontaminate, mixing, near_copies, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +24,7 @@ def test_stages_keep_what_they_should(spark):
 
     one = stages["near_duplicates"](spark, docs, SF)
     assert one.columns == docs.columns
-    assert {r["doc_id"] for r in one.collect()} == {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert {r["doc_id"] for r in one.collect()} == {r["component_id"] for r in near_copies.near_copies(docs).collect()}
 
     clean = stages["decontamination"](spark, docs, SF)
     items = [decontaminate.normal(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
