@@ -61,3 +61,9 @@ def reading(uri: str) -> Iterator[object]:
     system, path = _filesystem(uri)
     with system.open_input_stream(path, compression=None, buffer_size=1 << 20) as source:
         yield source
+
+
+def open_file(uri: str) -> object:
+    """A file opened for reads at any place; the caller closes it."""
+    system, path = _filesystem(uri)
+    return system.open_input_file(path)

@@ -92,3 +92,46 @@ def test_signature_counts_every_shingle():
     voted = int(near_copies._voted(hashes)[2])
     assert [voted >> b & 1 for b in (0, 7, 8, 63)] == [int(2 * n > len(hashes)) for n in bits]
     assert len(near_copies.signature(text)) == len(near_copies.NAMES) and not near_copies.signature(" \n").any()
+
+
+def pairs_of(low, high, count, seed=5):
+    """Pairs of texts whose similarity is from ``low`` to below ``high``."""
+    rng = random.Random(seed)
+    found = []
+    while len(found) < count:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(60, 600))]
+        edited = list(words)
+        for _ in range(rng.randrange(1, len(words) // 15)):
+            edited[rng.randrange(len(words))] = f"v{rng.randrange(10**6)}"
+        pair = " ".join(words), " ".join(edited)
+        if low <= similarity(*pair) < high:
+            found.append(pair)
+    return found
+
+
+def test_pairs_at_the_similarity_are_told_exactly(spark, docs):
+    for low, high, joined in ((0.75, 0.8, 0), (0.8, 0.85, 150)):
+        got = grouped(near_copies.near_copies(docs(list(enumerate(t for p in pairs_of(low, high, 150) for t in p)))))
+        assert sum(got[2 * k] == got[2 * k + 1] for k in range(150)) == joined
+
+
+def test_a_repeated_line_makes_no_near_copy(spark, docs):
+    rng = random.Random(3)
+    line = "all rights reserved by the makers of this page " * 300
+    texts = [line + " ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    got = grouped(near_copies.near_copies(docs(list(enumerate(texts)))))
+    assert got == {d: d for d in range(6)}
+
+
+def test_every_similar_pair_of_a_hot_bucket_is_linked(spark, docs):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(400)]
+    texts = []
+    for _ in range(90):
+        edited = list(words)
+        for _ in range(rng.randrange(0, 16)):
+            edited[rng.randrange(400)] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(edited))
+    want = roots(range(90), [p for p in combinations(range(90), 2) if similarity(texts[p[0]], texts[p[1]]) >= 0.8])
+    got = grouped(near_copies.near_copies(docs(list(enumerate(texts)))))
+    assert {frozenset(d for d in got if got[d] == c) for c in got.values()} == want
