@@ -53,3 +53,12 @@ def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_near_duplicates_without_ids_and_with_shared_ids(spark):
+    first, second, third, fourth = (" ".join(f"{c}{k}" for k in range(100)) for c in "abcd")
+    given = [(None, first), (None, second), (None, second + " end"), (1, third), (None, third), (2, fourth), (2, third + " end"), (2, fourth)]
+    docs = spark.createDataFrame([(i, t, "s", n) for n, (i, t) in enumerate(given)], "doc_id long, text string, source string, n int").repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()]
+    assert len(kept) == 4 and (None, first) in kept and (1, third) in kept and (2, fourth) in kept
+    assert ((None, second) in kept) + ((None, second + " end") in kept) == 1
