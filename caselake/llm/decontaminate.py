@@ -40,7 +40,8 @@ PRIME = 0x9E3779B97F4A7C15
 P1, P2, P4 = (np.uint64(pow(PRIME, n, 1 << 64)) for n in (1, 2, 4))
 
 SCHEMA = "doc_id long, item_id long, start long, end long, edits int"
-MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
+SCANNED = f"text_key long, {SCHEMA}"
+MATCHES = pa.schema([("text_key", pa.int64()), ("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
 
 
 def normal(text: str | None) -> str:
@@ -183,7 +184,7 @@ def blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tupl
 
 
 def scan(docs: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
-    """Matches of one block of items in all documents."""
+    """Matches of one block of items in all documents; text_key (Spark's xxhash64) tells texts of one doc_id apart."""
     shared = docs.sparkSession.sparkContext.broadcast(Index(items))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,18 +193,18 @@ def scan(docs: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
             rows = []
             for ids, texts in _slices(batch):
                 for doc, text, position, gram in _doc_hits(ids, texts, index):
-                    rows += [(doc, index.items[i][0], s, e, k) for i, s, e, k in matches(text, position, gram, index)]
+                    rows += [(*doc, index.items[i][0], s, e, k) for i, s, e, k in matches(text, position, gram, index)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), MATCHES.types)], MATCHES.names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(found, SCHEMA)
+    return docs.select(F.xxhash64("text").alias("text_key"), F.col("doc_id").cast("long"), "text").mapInArrow(found, SCANNED)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
     ids, texts, size = [], [], 0
-    for doc, text in zip(batch.column("doc_id"), batch.column("text")):
+    for key, doc, text in zip(batch.column("text_key"), batch.column("doc_id"), batch.column("text")):
         text = normal(text.as_py())
-        ids.append(doc.as_py())
+        ids.append((key.as_py(), doc.as_py()))
         texts.append(text)
         size += len(text)
         if size >= SLICE_CHARS:
@@ -233,6 +234,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, chars: int = BLOCK_CHARS
 
     Positions are those of the text in normal form.
     """
+    return _scanned(docs, benchmark, chars).drop("text_key")
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, text_key of the rows that hold an item: rows of one doc_id are told apart by their texts."""
+    return _scanned(docs, benchmark, chars).select("doc_id", "text_key").distinct()
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, chars: int) -> DataFrame:
     found = None
     for items in blocks(benchmark, chars):
         part = scan(docs, items)
@@ -241,4 +251,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, chars: int = BLOCK_CHARS
 
 
 def _none(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], SCHEMA)
+    return spark.createDataFrame([], SCANNED)

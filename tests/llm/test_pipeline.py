@@ -62,3 +62,11 @@ def test_near_duplicates_without_ids_and_with_shared_ids(spark):
     kept = [(r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()]
     assert len(kept) == 4 and (None, first) in kept and (1, third) in kept and (2, fourth) in kept
     assert ((None, second) in kept) + ((None, second + " end") in kept) == 1
+
+
+def test_decontamination_by_row(spark):
+    item = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(decontaminate.normal(r["text"])) > 40)
+    given = [(None, f"before {item} after"), (None, "clean without an id"), (1, f"{item}"), (1, "clean with the same id"), (2, "clean"), (2, None)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in given], "doc_id long, text string, source string").repartition(3)
+    kept = [tuple(r)[:2] for r in dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, SF).collect()]
+    assert sorted(kept, key=str) == sorted([given[1], given[3], given[4], given[5]], key=str)
