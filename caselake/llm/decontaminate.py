@@ -147,25 +147,27 @@ def banded_alignment(item: np.ndarray, region: np.ndarray, edits: int) -> tuple[
 
 
 def matches(text: str, position: np.ndarray, gram: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int]]:
-    """(item number, start, end, edits) of the items in one normal text; one place per item and region."""
+    """(item number, start, end, edits) of the items in one normal text: all places of an item that do not overlap."""
     item, band = index.regions(position, gram)
     chars, last = None, (-1, -1)
     for i, b in zip(item.tolist(), band.tolist()):
         k, length, known = int(index.edits[i]), int(index.length[i]), index.items[i][1]
         low = max(0, b * (k + 1) - length - k)
         high = min(len(text), (b + 2) * (k + 1) + 2 * k)
-        if last[0] == i and low < last[1]:  # the neighbouring band found this place
-            continue
-        at = text.find(known, low, high)  # no edits: the alignment is the diagonal itself
+        before = last[1] if last[0] == i else 0  # where the item's last place ends: the next one lies behind it
+        at = text.find(known, max(low, before), high)  # no edits: the alignment is the diagonal itself
         if at >= 0:
             yield i, at, at + length, 0
             last = (i, at + length)
             continue
+        low = max(low, before - k)  # an edited place may have taken up to k characters of its neighbour
+        if high - low < length - k:
+            continue
         chars = chars_of(text) if chars is None else chars
         found = banded_alignment(chars_of(known), chars[low:high], k)
         if found:
             end = low + found[1]
-            yield i, max(low, end - length), end, found[0]
+            yield i, max(low, before, end - length), end, found[0]
             last = (i, end)
 
 

@@ -313,6 +313,22 @@ def test_decontamination_keeps_the_edit_budget(spark, docs):
         assert got == want and 10 < len(want) < 60
 
 
+def test_every_place_of_an_item_is_told(spark, docs):
+    rng = random.Random(4)
+    item = "".join(rng.choices("abcdefghij ", k=231)).replace("  ", " b").strip()
+    item = decontaminate.normal(item + "xyz")
+    edited = item[:100] + "Q" + item[103:]
+    k, n = decontaminate.budget(len(item)), len(item)
+    assert k > 5
+    benchmark = spark.createDataFrame([(1, item), (2, "ab" * 100)], "item_id long, text string")
+    texts = {1: " ".join([item] * 5), 2: " ".join([edited, item, edited, edited]), 3: f"{item} {'z' * k} {item}", 4: item * 3, 5: "ab" * 300, 6: edited}
+    found = decontaminate.contaminated(docs(list(texts.items())), benchmark).orderBy("doc_id", "start").collect()
+    assert Counter(r["doc_id"] for r in found) == {1: 5, 2: 4, 3: 2, 4: 3, 5: 3, 6: 1}
+    for a, b in zip(found, found[1:]):
+        assert a["doc_id"] != b["doc_id"] or a["end"] <= b["start"]
+    assert [(r["start"], r["end"]) for r in found if r["doc_id"] == 1] == [(i * (n + 1), i * (n + 1) + n) for i in range(5)]
+
+
 def test_banded_alignment_agrees_with_the_whole_table():
     rnd = random.Random(8)
     for _ in range(200):
