@@ -33,16 +33,20 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 #: Words of names and how sensitive they are; a name counts by its most sensitive word.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "apikey": 1.0, "token": 0.9, "credential": 0.9,
-    "credentials": 0.9, "bearer": 0.9, "pass": 0.8, "auth": 0.7, "key": 0.6, "private": 0.6, "signature": 0.6, "signing": 0.6, "salt": 0.5, "pin": 0.4,
+    "credentials": 0.9, "bearer": 0.9, "pass": 0.8, "auth": 0.7, "key": 0.6, "private": 0.6, "signature": 0.6, "signing": 0.6, "salt": 0.5, "pin": 0.7,
 }
 #: Values that stand for a secret but are none.
 PLACEHOLDERS = {"changeme", "example", "password", "secret", "token", "undefined", "null", "none", "true", "false", "xxxxxxxx", "placeholder"}
 THRESHOLD = 0.5
 LEAST = 8
+#: First characters kept of a joined value; no placeholder is as long.
+HEAD = 32
 
 NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
 LITERAL = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'"""
-PAIR = re.compile(rf"""(?P<name>{NAME})["']?\x20*(?::=|=>|==?(?!=)|:(?!//))\x20*(?P<value>(?:{LITERAL}|[A-Za-z0-9+/_.=$-]+)(?:\x20*\+\x20*(?:{LITERAL}|{NAME}))*)""")
+#: Literals one after the other on a line, also a continued one; not the quoted name of the next pair.
+ADJACENT = rf"""(?:{LITERAL})(?:[\x20\t]*(?:\\\n[\x20\t]*)?(?:{LITERAL})(?![\x20\t]*[:=]))*"""
+PAIR = re.compile(rf"""(?P<name>{NAME})["']?\x20*(?::=|=>|==?(?!=)|:(?!//))\x20*(?P<value>(?:{ADJACENT}|[A-Za-z0-9+/_.=$-]+)(?:\x20*\+\x20*(?:{ADJACENT}|{NAME}))*)""")
 ELEMENT = re.compile(rf"<(?P<name>{NAME})>(?P<value>[^<>\s]+)</(?P=name)>")
 PART = re.compile(rf"(?P<quoted>{LITERAL})|(?P<bare>[A-Za-z0-9+/_.=$-]+)")
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -55,18 +59,47 @@ def sensitivity(name: str) -> float:
     return max((SENSITIVE.get(w, 0.0) for w in words + pairs), default=0.0)
 
 
-def randomness(value: str) -> float:
+class Value:
+    """What a name holds: a literal's span, or other values one after the other.
+
+    Only what the score needs is joined (counts of characters, the first of them),
+    so a constant made of any number of pieces costs no more than its pieces.
+    """
+
+    __slots__ = ("span", "pieces", "size", "head", "counts")
+
+    def __init__(self, literal: str = "", span: tuple[int, int] | None = None, pieces: tuple[Value, ...] = ()):
+        self.span, self.pieces = span, pieces
+        self.size = len(literal) + sum(p.size for p in pieces)
+        self.head = (literal + "".join(p.head for p in pieces))[:HEAD]
+        self.counts = Counter(literal)
+        for p in pieces:
+            self.counts.update(p.counts)
+
+    def spans(self, told: set[int]) -> Iterator[tuple[int, int]]:
+        """Spans of the literals in values not yet ``told``."""
+        left = [self]
+        while left:
+            value = left.pop()
+            if id(value) not in told:
+                told.add(id(value))
+                left += value.pieces
+                if value.span and value.size:
+                    yield value.span
+
+
+def randomness(value: Value) -> float:
     """0 for words, towards 1 for keys: entropy per character, and mixed kinds of characters."""
-    counts = Counter(value).values()
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts)
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    entropy = -sum(c / value.size * math.log2(c / value.size) for c in value.counts.values())
+    kinds = sum(any(re.match(p, c) for c in value.counts) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(1.0, entropy / 4) * (0.4 + 0.2 * kinds)
 
 
-def score(name: str, value: str) -> float:
-    if len(value) < LEAST or value.lower() in PLACEHOLDERS or value.startswith("$"):
+def score(name: str, value: Value) -> float:
+    if value.size < LEAST or value.head.startswith("$") or (value.size < HEAD and value.head.lower() in PLACEHOLDERS):
         return 0.0
-    return sensitivity(name) * min(1.0, 0.3 + randomness(value))
+    sensitive = sensitivity(name)
+    return sensitive and sensitive * min(1.0, 0.3 + randomness(value))
 
 
 def _pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool]]]]:
@@ -85,15 +118,22 @@ def _pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool]]]]:
 
 def assigned_literals(text: str) -> set[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, directly or through constants."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    known: dict[str, Value] = {}
+    every: list[Value] = []  # holds the values, so that an id stays with its value
+    told: set[int] = set()
     spans: set[tuple[int, int]] = set()
     for name, parts in _pairs(text):
-        literals: list[tuple[str, int, int]] = []
-        for value, start, end, quoted in parts:
-            literals += known[value] if not quoted and value in known else [(value, start, end)] if quoted or len(parts) == 1 else []
-        known[name] = literals[:64]
-        if score(name, "".join(v for v, _, _ in literals)) >= THRESHOLD:
-            spans.update((s, e) for v, s, e in literals if v)
+        values: list[Value] = []
+        for literal, start, end, quoted in parts:
+            if not quoted and literal in known:
+                values.append(known[literal])
+            elif quoted or len(parts) == 1:
+                values.append(Value(literal, (start, end)))
+        value = values[0] if len(values) == 1 else Value(pieces=tuple(values))
+        known[name] = value
+        every.append(value)
+        if score(name, value) >= THRESHOLD:
+            spans.update(value.spans(told))
     return spans
 
 

@@ -468,3 +468,29 @@ def test_secret_base_spans(spark, docs, odd, nothing):
 )
 def test_literals_assigned_to_sensitive_names(text, found):
     assert [text[s:e] for s, k, e in secret_scan.scan(text) if k == 3] == found
+
+
+def sensitive_literals(text):
+    return [text[s:e] for s, e in sorted(secret_scan.assigned_literals(text))]
+
+
+def test_a_constant_of_any_number_of_pieces():
+    rng = random.Random(2)
+    pieces = ["".join(rng.choices("abcXYZ0123456789", k=5)) for _ in range(3000)]
+    whole = "blob = " + " + ".join(f"'{p}'" for p in pieces) + "\nmy_secret = blob"
+    lines = "blob = ''\n" + "".join(f"blob = blob + '{p}'\n" for p in pieces) + "my_secret = blob"
+    for text in (whole, lines):
+        assert sensitive_literals(text) == pieces
+
+
+def test_adjacent_literals_are_one_value():
+    assert sensitive_literals("secret_key = 'abcd' 'efgh1234XYZ98'") == ["abcd", "efgh1234XYZ98"]
+    assert sensitive_literals("secret_key = 'abcd' \\\n  'efgh1234XYZ98'") == ["abcd", "efgh1234XYZ98"]
+    assert sensitive_literals("secret_key: 'abcd1234XYZ98' 'other': 'plain words'") == ["abcd1234XYZ98"]
+
+
+@pytest.mark.parametrize("word", sorted(secret_scan.SENSITIVE))
+def test_every_sensitive_name_can_be_reported(word):
+    assert sensitive_literals(f"{word} = 'aB3$xY9!kL2#qW7&'") == ["aB3$xY9!kL2#qW7&"]
+    if word == "pin":
+        assert sensitive_literals("pin = '48150623'") == ["48150623"]
