@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import decontaminate, fingerprints, inner_products, mixing, pii, secret_scan, simhash, token_counts, token_files, toxicity, warc
+from caselake.llm import collocations, decontaminate, fingerprints, inner_products, mixing, pii, secret_scan, simhash, spelling, token_counts, token_files, toxicity, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -68,6 +68,14 @@ def op11_inner_products(spark: SparkSession, folder: str) -> DataFrame:
     return inner_products.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 OP1_SQL = """
 WITH payloads AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest, strlen(coalesce(html, ''))::BIGINT AS bytes FROM pages
@@ -84,8 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc, op2_token_files, op3_simhash, op4_fingerprints, op5_toxicity, op6_decontaminate, op7_personal_data, op8_mix, op9_token_counts, op10_secrets,
-        op11_inner_products,
+        op11_inner_products, op12_spelling_variants, op13_collocations,
     )
 }
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op8_mix": mixing.SQL.format(table="documents"), "op11_inner_products": inner_products.SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op8_mix": mixing.SQL.format(table="documents"), "op11_inner_products": inner_products.SQL, "op12_spelling_variants": spelling.SQL, "op13_collocations": collocations.SQL}
