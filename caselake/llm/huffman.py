@@ -13,7 +13,7 @@ import numpy as np
 #: Longest code in bits; a vocabulary may have 2^LIMIT ids.
 LIMIT = 18
 #: Ids between two kept bit positions.
-STRIDE = 256
+STRIDE = 64
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -109,4 +109,4 @@ def decode(data: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, limi
         entry = table[(window >> (shift - (at & 7))) & mask]
         out[i] = entry >> 8
         at += entry & 255
-    return out.T.reshape(-1)[:n]
+    return np.ascontiguousarray(out.T).reshape(-1)[:n]

@@ -176,7 +176,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     found = connected(links(distinct.select("fp"), radius))
     # fingerprints without a link are their own component
     rooted = distinct.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that both sides of the join are plain exchanges, which Spark splits at a root with very many members
+    rooted = materialized(rooted, "roots")
+    least = materialized(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
     members = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(members, "fp").select("doc_id", "fp", "component_id")
 

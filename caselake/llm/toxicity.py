@@ -142,8 +142,8 @@ def _descend(x: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return p[: x.shape[1]], np.concatenate([raw[:1], raw[0] + np.cumsum(np.log1p(np.exp(raw[1:])))])
 
 
-def scored(docs: DataFrame, model: Ordinal, reject: float = REJECT) -> DataFrame:
-    """``docs`` with expected_severity, grade (most likely) and toxic."""
+def scored(docs: DataFrame, model: Ordinal, reject: float = REJECT, into: str = "_tox") -> DataFrame:
+    """``docs`` with a struct ``into``: expected_severity, grade (most likely) and toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -155,7 +155,7 @@ def scored(docs: DataFrame, model: Ordinal, reject: float = REJECT) -> DataFrame
                 rows.append({"expected_severity": sum(p), "grade": int(np.argmax(np.diff(at_least) * -1)), "toxic": bool(p) and p[0] >= reject})
             yield pa.array(rows, pa.struct([("expected_severity", pa.float64()), ("grade", pa.int32()), ("toxic", pa.bool_())]))
 
-    return docs.withColumn("_tox", F.arrow_udf(score, "expected_severity double, grade int, toxic boolean")(F.col("text")))
+    return docs.withColumn(into, F.arrow_udf(score, "expected_severity double, grade int, toxic boolean")(F.col("text")))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
-"""Upserts and deletes by key, as DataFrames and as tables on a path.
+"""Upserts and deletes by key, as DataFrames; checked appends; MERGE for catalogs that have it.
 
 Plain parquet has no MERGE: the new content is the rows of the target that the
-source does not replace, plus the source.
+source does not replace, plus the source. Tables that are replaced this way lie
+behind a manifest (``versioned``).
 """
 
 from __future__ import annotations
@@ -46,81 +47,10 @@ def append_checked(df: DataFrame, path: str, by: list[str]) -> None:
     _write_by(df, by).mode("append").partitionBy(*by).parquet(path)
 
 
-def upsert_partitions(path: str, source: DataFrame, keys: list[str], by: list[str], staging: str, fixed: bool = False) -> None:
-    """Merge ``source`` by key into the partitioned table at ``path``."""
-    replace_keys(path, source, source.select(*keys), keys, by, staging, fixed)
-
-
-def replace_keys(
-    path: str, source: DataFrame, stale: DataFrame, keys: list[str], by: list[str], staging: str, fixed: bool = False
-) -> None:
-    """Delete the rows whose key is in ``stale`` and insert ``source``, touching few partitions.
-
-    Only partitions that hold a stale key, or receive a row, are rewritten: a row
-    may move between partitions. The new content is written to ``staging`` first,
-    because a table cannot be overwritten while it is being read; until then a
-    lost executor or a failed run leaves the table as it was, and a rerun repeats
-    the step. ``fixed`` says that the partition follows from the key, so a stale
-    row can only sit in a partition the source names and no search is needed.
-    """
-    spark = source.sparkSession
-    if not path_exists(spark, path):
-        _write_by(source, by).mode("overwrite").partitionBy(*by).parquet(path)
-        return
-    target = spark.read.parquet(path)
-    # partition columns come back from folder names: give them their declared types again
-    target = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in source.schema])
-    places = source.select(*by)
-    if not fixed:
-        places = places.union(target.join(_renamed(stale, keys), _same(keys), "left_semi").select(*by))
-    # partition values only: as many rows as the table has folders
-    affected = {tuple(r) for r in places.distinct().collect()}
-    if not affected:
-        return
-    old = _of_partitions(target, by, affected)
-    content = minus_keys(old, stale, keys).unionByName(source)
-    _write_by(content, by).mode("overwrite").partitionBy(*by).parquet(staging)
-    staged = spark.read.schema(content.schema).parquet(staging)
-    filled = {tuple(r) for r in staged.select(*by).distinct().collect()}
-    _write_by(staged, by).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    for values in affected - filled:  # partitions all of whose rows went away
-        _drop_partition(spark, path, dict(zip(by, values)))
-
-
 def _write_by(df: DataFrame, by: list[str]):
     return df.hint("rebalance", *[F.col(c) for c in by]).write
 
 
-def _of_partitions(target: DataFrame, by: list[str], affected: set[tuple]) -> DataFrame:
-    """Rows of the given partitions. The first column prunes folders by a value list, whose length
-    does not deepen the expression; the frame of partition values decides."""
-    first = {v[0] for v in affected}
-    listed = F.col(by[0]).isin([v for v in first if v is not None])
-    pruned = target.where(listed | F.col(by[0]).isNull() if None in first else listed)
-    values = target.sparkSession.createDataFrame(sorted(affected, key=str), target.select(*by).schema)
-    return pruned.join(_renamed(values, by), _same(by), "left_semi")
-
-
-def write_version(df: DataFrame, path: str) -> DataFrame:
-    """Write a full rebuild next to the previous versions and return it.
-
-    Readers use ``read_current``; a version counts once its write has committed,
-    so a table can be rebuilt from itself.
-    """
-    spark = df.sparkSession
-    versions = _versions(spark, path)
-    new = f"{path}/v{(versions[-1] if versions else 0) + 1:06d}"
-    df.write.mode("overwrite").parquet(new)
-    return spark.read.parquet(new)
-
-
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    versions = _versions(spark, path)
-    if not versions:
-        raise FileNotFoundError(path)
-    return spark.read.parquet(f"{path}/v{versions[-1]:06d}")
-
-
 def merge_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str]) -> None:
     """Real MERGE, for catalogs whose tables support it."""
     on = " AND ".join(f"t.{k} <=> s.{k}" for k in keys)
@@ -141,16 +71,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the folders v000001, v000002, ... whose write has committed."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
     return sorted(int(n[1:]) for n in names if n.startswith("v") and path_exists(spark, f"{path}/{n}/_SUCCESS"))
-
-
-def _drop_partition(spark: SparkSession, path: str, values: dict) -> None:
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    parts = [escape.getPartitionPathString(k, None if v is None else str(v)) for k, v in values.items()]
-    p, fs = _fs(spark, "/".join([path, *parts]))
-    fs.delete(p, True)

@@ -4,8 +4,18 @@ Each run finds the keys its new rows touch, recomputes those keys whole from the
 quality layer and replaces them in the star schema, so that a run of loads gives
 the tables a full rebuild would give. Marts are rebuilt.
 
-Tables live under one root in the cluster's shared storage. A control table
-records the mark of every completed run; a run that dies is simply run again.
+All tables are versioned (``operators.versioned``): facts and dimensions lie in hash
+buckets of the key they are replaced by, so a load rewrites the buckets it touches, and
+readers change over to a load at once. What a layer has taken from the layer before is
+kept with its data: bronze remembers the deliveries of landing, the quality layer the
+loads of bronze. No mark is found by scanning history, and a row that arrives late is
+loaded whatever its ingest time.
+
+Persons follow from an index of who names them, kept in buckets of the name: a load looks
+into the buckets of the names it brings or takes away, a person nobody names any more goes,
+and only names whose persons changed re-open charges. What a run learns by comparing with
+tables it then replaces is written to its open folder first; a run that dies is run again
+and finds it there.
 """
 
 from __future__ import annotations
@@ -16,53 +26,70 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.functions.dates import EPOCH_WATERMARK
+from caselake.functions.keys import surrogate_key
 from caselake.operators.bronze import to_bronze
 from caselake.operators.dedup import latest_by
 from caselake.operators.joins import touched
-from caselake.operators.merge import append_checked, path_exists, read_current, replace_keys, upsert_partitions, write_version
+from caselake.operators.merge import minus_keys, path_exists
 from caselake.operators.quality import KEYS, to_quality
-from caselake.operators.watermark import high_water_mark, newer_than
+from caselake.operators.versioned import BUCKETS, VersionedTable, hashed, valued
+from caselake.operators.watermark import newer_than
 from caselake.plans import dims, facts, marts
 from caselake.plans.comments import COMMENTS
 from caselake.plans.pipeline import SOURCES
 from caselake.session import configure
 from caselake.sources.registry import SourceSpec, load_registry
 from caselake.sources.tables import with_comments
+from caselake.streaming.landing import BATCH
 
-FILE_DAY = ["_file_day"]
+FILE_DAY = "_file_day"
 SOURCES_AT_ONCE = 4
 STAMP = "_bronze_loaded_at"
-# Partition columns of the star schema.
-PARTITIONS = {
-    "dim_case": ["directorate"],
-    "dim_officer": ["officer_cluster", "officer_team"],
-    "fact_event_officer": ["court_event_year"],
-    "fact_case_charge": ["offence_group"],
-    "fact_case_officer": ["first_mention_year"],
+DELIVERY = ["_source_file", "_ingested_at"]
+PERSON = ["full_name", "gender", "date_of_birth"]
+#: What the rows of each table are replaced by, and so placed by.
+REPLACED_BY = {
+    "dim_case": "case_pid",
+    "dim_officer": "officer_id",
+    "dim_person": "full_name",
+    "fact_event_officer": "court_event_id",
+    "fact_case_charge": "case_pid",
+    "fact_case_officer": "case_pid",
 }
 
 
 class Nightly:
-    """One lake root; ``run`` loads whatever is new."""
+    """One lake root; ``run`` loads whatever is new. ``buckets`` holds for the life of the lake."""
 
-    def __init__(self, spark: SparkSession, root: str, registry: dict[str, SourceSpec] | None = None):
+    def __init__(self, spark: SparkSession, root: str, registry: dict[str, SourceSpec] | None = None, buckets: int = BUCKETS):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.registry = registry or load_registry()
+        self.buckets = buckets
+        self.opened = uuid.uuid4().hex[:12]
+
+    def table(self, layer: str, name: str) -> VersionedTable:
+        place: Column
+        if layer == "silver":
+            place = hashed([REPLACED_BY[name]], self.buckets)
+        elif layer == "index":
+            place = hashed(["full_name"], self.buckets)
+        elif layer in ("bronze", "qa"):
+            place = valued(FILE_DAY)
+        else:
+            place = F.lit("all")
+        return VersionedTable(self.spark, f"{self.root}/{layer}/{name}", place)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        path = f"{self.root}/{layer}/{name}"
-        if layer == "gold" or name == "dim_person":
-            return read_current(self.spark, path)
-        return self.spark.read.parquet(path)
+        return self.table(layer, name).read()
 
     def run(self, landing: Callable[[str], DataFrame], as_of: dt.date, loaded_at: dt.datetime) -> None:
-        """Load all landing rows past the last run. ``loaded_at`` must grow from run to run."""
-        mark = self.last_mark()
+        """Load all landing rows no earlier run has taken. ``loaded_at`` must grow from run to run."""
+        done = self.last_run()
 
         def load(source: str) -> None:
             self.load_bronze(source, landing(source), loaded_at)
@@ -70,37 +97,74 @@ class Nightly:
 
         with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:  # the sources are independent Spark jobs
             list(pool.map(load, SOURCES))
-        fresh = {s: newer_than(self.read("qa", s), STAMP, mark) for s in SOURCES}
+        # rows that are new lie in files the last run has not seen; the mark tells them from rows rewritten with them
+        fresh = {s: newer_than(self.table("qa", s).read_new(done["loads"].get(s, [])), STAMP, done["mark"]) for s in SOURCES}
         if all(rows.isEmpty() for rows in fresh.values()):
             return
         cases = self._keep("touched_cases", self.touched_cases(fresh))
         changed = self.load_dims(fresh, cases)
-        self.load_facts(fresh, cases, changed)
+        names = self.load_persons(fresh)
+        self.load_facts(fresh, cases, changed, names)
         self.build_marts(as_of)
-        self.spark.createDataFrame([(loaded_at.isoformat(),)], "mark string").coalesce(1).write.mode("append").parquet(f"{self.root}/_runs")
+        record = {"mark": loaded_at.isoformat(), "loads": {s: self.table("qa", s).loads() for s in SOURCES}}
+        self.table("runs", "done").append(self.spark.createDataFrame([(loaded_at.isoformat(),)], "mark string"), record)
+        self._remove("_open")
 
-    def last_mark(self) -> dt.datetime:
-        if not path_exists(self.spark, f"{self.root}/_runs"):
-            return EPOCH_WATERMARK
-        return dt.datetime.fromisoformat(self.spark.read.parquet(f"{self.root}/_runs").agg(F.max("mark").alias("m")).first()["m"])
+    def last_run(self) -> dict:
+        """Mark of the last completed run, and the loads of each quality table it has seen."""
+        runs = self.table("runs", "done")
+        meta = runs.manifest().meta if runs.exists() else {}
+        return {"mark": dt.datetime.fromisoformat(meta["mark"]) if meta else EPOCH_WATERMARK, "loads": meta.get("loads", {})}
 
     # --- bronze and quality
 
     def load_bronze(self, source: str, landing: DataFrame, loaded_at: dt.datetime) -> None:
-        path = f"{self.root}/bronze/{source}"
-        since = high_water_mark(self.spark.read.parquet(path), "_ingested_at") if path_exists(self.spark, path) else None
-        rows = to_bronze(landing, self.registry[source], since, _literal(loaded_at))
-        append_checked(rows.withColumn("_file_day", F.to_date("_file_date")), path, FILE_DAY)
+        """Append the deliveries bronze has not taken.
+
+        A landing table that numbers its batches is read batch by batch. Otherwise a
+        delivery is a file and its ingest time; those taken are rows of a ledger, which
+        count once bronze names their load.
+        """
+        bronze = self.table("bronze", source)
+        meta = bronze.manifest().meta if bronze.exists() else {}
+        if BATCH in landing.columns:
+            taken = set(meta.get("batches", []))
+            new = sorted({r[BATCH] for r in landing.select(BATCH).distinct().collect()} - taken)
+            if new or not meta:
+                self._append_bronze(source, landing.where(F.col(BATCH).isin(new)), loaded_at, {"batches": sorted(taken | set(new))})
+            return
+        ledger = self.table("ledger", source)
+        fresh = landing
+        if meta.get("ledger"):
+            known = ledger.read().where(F.col("load").isin(meta["ledger"]))
+            fresh = minus_keys(landing, known, DELIVERY)
+        load = uuid.uuid4().hex[:12]
+        deliveries = self._keep(f"deliveries_{source}", fresh.select(*DELIVERY).distinct().withColumn("load", F.lit(load)))
+        if meta and deliveries.isEmpty():
+            return
+        ledger.append(deliveries)
+        self._append_bronze(source, fresh, loaded_at, {"ledger": [*meta.get("ledger", []), load]})
+
+    def _append_bronze(self, source: str, rows: DataFrame, loaded_at: dt.datetime, meta: dict) -> None:
+        typed = to_bronze(rows, self.registry[source], None, _literal(loaded_at))
+        self.table("bronze", source).append(typed.withColumn(FILE_DAY, F.to_date("_file_date")), meta)
 
     def load_quality(self, source: str, as_of: dt.date, loaded_at: dt.datetime) -> None:
-        path = f"{self.root}/qa/{source}"
-        done = high_water_mark(self.spark.read.parquet(path), STAMP) if path_exists(self.spark, path) else EPOCH_WATERMARK
-        bronze = newer_than(self.read("bronze", source).drop("_file_day"), STAMP, done)
+        """Check the loads of bronze that are new and replace rows by key; of rows of one key the last ingested stays."""
+        bronze, quality = self.table("bronze", source), self.table("qa", source)
+        loads = bronze.loads()
+        taken = set(quality.manifest().meta["taken"]) if quality.exists() else set()
+        if quality.exists() and taken.issuperset(loads):
+            return
+        checked = to_quality(bronze.read_new(taken).drop(FILE_DAY), source, as_of, loaded_at=_literal(loaded_at))
         # a run that died after bronze leaves its rows to the next one: a key may then come twice
-        rows = latest_by(to_quality(bronze, source, as_of, loaded_at=_literal(loaded_at)), KEYS[source], ["_ingested_at"])
-        dated = rows.withColumn("_file_day", F.to_date("_file_date"))
-        # the file date is part of every key, so a key never leaves its day
-        upsert_partitions(path, dated, KEYS[source], FILE_DAY, self._staging(source), fixed=True)
+        rows = latest_by(checked, KEYS[source], ["_ingested_at"]).withColumn(FILE_DAY, F.to_date("_file_date"))
+        if quality.exists():
+            rows = self._keep(f"checked_{source}", rows)
+            # the file date is part of every key, so a key never leaves its day
+            known = self._keep(f"known_{source}", touched_null_safe(quality.read_keys(rows), rows, KEYS[source]))
+            rows = latest_by(rows.unionByName(known.select(*rows.columns)), KEYS[source], ["_ingested_at"])
+        quality.replace(rows, KEYS[source], meta={"taken": loads})
 
     # --- keys a load touches
 
@@ -114,41 +178,61 @@ class Nightly:
     # --- star schema
 
     def load_dims(self, fresh: dict[str, DataFrame], cases: DataFrame) -> DataFrame:
-        """Replace what changed; returns the officers whose versions did."""
+        """Replace cases and officers; returns the officers whose versions changed."""
         officers = fresh["assignments"].select("officer_id").distinct()
         seen = touched(self.read("qa", "assignments"), officers, "officer_id")
         versions = self._keep("officer_versions", dims.dim_officer(seen))
-        changed = self._keep("changed_officers", self._changed(versions, officers))
-        self._replace("dim_officer", versions, officers, ["officer_id"])
-        self._replace("dim_case", dims.dim_case(touched(self.read("qa", "cases"), cases, "case_pid")), cases, ["case_pid"])
-        path = f"{self.root}/silver/dim_person"
-        new = dims.dim_person(fresh["cases"], fresh["entities"])
-        known = read_current(self.spark, path) if path_exists(self.spark, path) else None
-        # the latest file date of a person is a maximum, so old and new fold into one aggregate
-        rows = new if known is None else known.unionByName(new)
-        identity = ["person_skey", "full_name", "gender", "date_of_birth"]
-        write_version(rows.groupBy(*identity).agg(F.max("_file_date").alias("_file_date"), F.max(STAMP).alias(STAMP)), path)
+        changed = self._learn("changed_officers", self._changed(versions, officers))
+        self._replace("dim_officer", versions, officers)
+        self._replace("dim_case", dims.dim_case(touched(self.read("qa", "cases"), cases, "case_pid")), cases)
         return changed
 
     def _changed(self, versions: DataFrame, officers: DataFrame) -> DataFrame:
         """Officers whose versions, and so the keys facts point to, are not those of the last load."""
         columns = ["officer_skey", "officer_id", *dims.TRACKED_OFFICER]
         new = versions.select(*columns)
-        if not path_exists(self.spark, f"{self.root}/silver/dim_officer"):
+        known = self.table("silver", "dim_officer")
+        if not known.exists():
             return new.select("officer_id").distinct()
-        old = touched(self.read("silver", "dim_officer"), officers, "officer_id").select(*columns)
+        old = touched(known.read_keys(officers), officers, "officer_id").select(*columns)
         return new.exceptAll(old).union(old.exceptAll(new)).select("officer_id").distinct()
 
-    def spread(self, fresh: dict[str, DataFrame], cases: DataFrame, changed: DataFrame) -> DataFrame:
-        """Touched cases, those of changed officers, and those that name a person of a name that arrived."""
+    def load_persons(self, fresh: dict[str, DataFrame]) -> DataFrame:
+        """Bring the index of names and the person dimension up to date; returns the names whose persons changed."""
+        index, persons = self.table("index", "person_names"), self.table("silver", "dim_person")
+        now, before = [], []
+        for s in ("cases", "entities"):
+            now.append(mentions(fresh[s], s))
+            known = self._learned(f"known_{s}")
+            if known is not None:  # rows a load met under the same key: what they said goes, what stands there now is said again
+                before.append(mentions(known, s).select("full_name", "row_key"))
+                now.append(mentions(touched_null_safe(self.table("qa", s).read_keys(known), known, KEYS[s]), s))
+        arrived = self._keep("mentions", reduce(DataFrame.unionByName, now).distinct())
+        stale = self._keep("stale_mentions", reduce(DataFrame.union, [arrived.select("full_name", "row_key"), *before]).distinct())
+        names = self._learn("names", stale.select("full_name").distinct())
+        rows = arrived.where("is_valid_row").drop("is_valid_row")
+        index.replace(rows, ["full_name", "row_key"], stale)
+        held = index.read_keys(names).join(names.select(F.col("full_name").alias("_name")), F.col("full_name").eqNullSafe(F.col("_name")), "left_semi")
+        new = held.groupBy(*PERSON).agg(F.max("_file_date").alias("_file_date"), F.max(STAMP).alias(STAMP))
+        new = self._keep("persons", new.select(surrogate_key(*PERSON).alias("person_skey"), *PERSON, "_file_date", STAMP))
+        identity = ["full_name", "person_skey"]
+        old = persons.read_keys(names) if persons.exists() else new.limit(0)
+        old = old.join(names.select(F.col("full_name").alias("_name")), F.col("full_name").eqNullSafe(F.col("_name")), "left_semi").select(*identity)
+        differ = new.select(*identity).exceptAll(old).union(old.exceptAll(new.select(*identity)))
+        changed = self._learn("changed_names", differ.select("full_name").distinct())
+        self._replace("dim_person", new, names)
+        return changed
+
+    def spread(self, cases: DataFrame, changed: DataFrame, names: DataFrame) -> DataFrame:
+        """Touched cases, those of changed officers, and those that name a person of a name whose persons changed."""
         of_officers = touched(self.read("qa", "assignments"), changed, "officer_id").select("case_pid")
-        names = fresh["entities"].select("entity_name").union(fresh["cases"].select(F.col("accused_name").alias("entity_name"))).distinct()
-        numbers = touched(self.read("qa", "entities"), names, "entity_name").select("case_no").distinct()
+        named = touched(self.table("index", "person_names").read_keys(names), names, "full_name")
+        numbers = named.select("case_no").distinct()
         of_names = touched(self.read("qa", "cases").select("case_no", "case_pid"), numbers, "case_no").select("case_pid")
         return self._keep("spread_cases", cases.select("case_pid").union(of_officers).union(of_names).distinct())
 
-    def load_facts(self, fresh: dict[str, DataFrame], cases: DataFrame, changed: DataFrame) -> None:
-        cases = self.spread(fresh, cases, changed)
+    def load_facts(self, fresh: dict[str, DataFrame], cases: DataFrame, changed: DataFrame, names: DataFrame) -> None:
+        cases = self.spread(cases, changed, names)
         qa = {s: self.read("qa", s) for s in SOURCES}
         of_case = {s: touched(qa[s], cases, "case_pid") for s in ("cases", "assignments", "charges", "events")}
         numbers = of_case["cases"].select("case_no").distinct()
@@ -156,7 +240,7 @@ class Nightly:
         officers = self.read("silver", "dim_officer")
 
         charges = facts.fact_case_charge(of_case["charges"], of_case["cases"], entities, self.read("silver", "dim_person"))
-        self._replace("fact_case_charge", charges, cases, ["case_pid"])
+        self._replace("fact_case_charge", charges, cases)
 
         # an event is recomputed when it, its officers or its case arrived, or an officer's versions changed
         attended = touched(qa["event_officers"], changed, "officer_id")
@@ -165,12 +249,12 @@ class Nightly:
         event_rows = facts.fact_event_officer(
             touched(qa["events"], events, "court_event_id"), touched(qa["event_officers"], events, "court_event_id"), qa["cases"], officers
         )
-        self._replace("fact_event_officer", event_rows, events, ["court_event_id"])
+        self._replace("fact_event_officer", event_rows, events)
 
-        counted = touched(self.read("silver", "fact_case_charge"), cases, "case_pid")
+        counted = touched(self.table("silver", "fact_case_charge").read_keys(cases), cases, "case_pid")
         profile = facts.case_profile(of_case["cases"], of_case["events"], entities, counted)
         history = facts.assignment_history(of_case["assignments"])
-        self._replace("fact_case_officer", facts.fact_case_officer(history, profile, officers), cases, ["case_pid"])
+        self._replace("fact_case_officer", facts.fact_case_officer(history, profile, officers), cases)
 
     def build_marts(self, as_of: dt.date) -> None:
         t = {n: self.read("silver", n) for n in ("fact_case_charge", "fact_event_officer", "fact_case_officer", "dim_case", "dim_officer")}
@@ -181,23 +265,56 @@ class Nightly:
             "event_offence_hearing_days": marts.event_offence_hearing_days(event, charge, officer, t["dim_officer"]),
         }
         for name, df in built.items():
-            write_version(with_comments(df, COMMENTS[name]), f"{self.root}/gold/{name}")
+            self.table("gold", name).overwrite(with_comments(df, COMMENTS[name]))
 
     # --- writing
 
-    def _replace(self, name: str, rows: DataFrame, stale: DataFrame, keys: list[str]) -> None:
-        rows = with_comments(rows, COMMENTS[name])
-        replace_keys(f"{self.root}/silver/{name}", rows, stale, keys, PARTITIONS[name], self._staging(name))
-
-    def _staging(self, name: str) -> str:
-        return f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:12]}"
+    def _replace(self, name: str, rows: DataFrame, stale: DataFrame) -> None:
+        self.table("silver", name).replace(with_comments(rows, COMMENTS.get(name, {})), [REPLACED_BY[name]], stale)
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a key set that several steps read."""
-        path = self._staging(name)
+        """Write rows that several steps read into this run's open folder."""
+        path = f"{self.root}/_open/{self.opened}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _learn(self, name: str, df: DataFrame) -> DataFrame:
+        """Keep what comparing with a table shows before that table is replaced, and add what runs that died had learnt."""
+        self._keep(name, df)
+        return self._learned(name).distinct()
+
+    def _learned(self, name: str) -> DataFrame | None:
+        """What this run and unfinished runs before it kept under a name."""
+        paths = [f"{self.root}/_open/{run}/{name}" for run in self._runs_open()]
+        paths = [p for p in paths if path_exists(self.spark, f"{p}/_SUCCESS")]
+        return reduce(DataFrame.unionByName, [self.spark.read.parquet(p) for p in paths]) if paths else None
+
+    def _runs_open(self) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_open")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+    def _remove(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def mentions(rows: DataFrame, source: str) -> DataFrame:
+    """Who a quality row names: the row's key, the person, the case, and whether the row is valid."""
+    key = F.to_json(F.struct(F.lit(source).alias("source"), *KEYS[source]))
+    if source == "cases":
+        who = [F.col("accused_name"), F.col("accused_gender"), F.col("accused_dob"), F.col("case_pid")]
+    else:
+        who = [F.col("entity_name"), F.col("entity_gender"), F.lit(None).cast("date"), F.lit(None).cast("string")]
+    person = [c.alias(n) for c, n in zip(who, [*PERSON, "case_pid"])]
+    return rows.select(key.alias("row_key"), *person, "case_no", "_file_date", STAMP, "is_valid_row")
+
+
+def touched_null_safe(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key, NULLs included, occurs in ``keys``."""
+    wanted = keys.select(*[F.col(k).alias(f"_key_{k}") for k in on])
+    return rows.join(wanted, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in on]), "left_semi")
+
 
 def _literal(stamp: dt.datetime):
     return F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")

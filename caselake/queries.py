@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +20,19 @@ from caselake.operators.bronze import to_bronze
 from caselake.operators.dedup import latest_by
 from caselake.operators.history import observed_versions, snapshot_step, version_step
 from caselake.operators.joins import touched
-from caselake.operators.merge import minus_keys, upsert
+from caselake.operators.merge import append_checked, minus_keys, upsert
 from caselake.operators.quality import CHARGE_TYPES, KEYS, to_quality, valid
 from caselake.operators.watermark import high_water_mark
 from caselake.plans import dims, facts, marts, reports, serve
+from caselake.plans.comments import COMMENTS
+from caselake.plans.nightly import Nightly
 from caselake.plans.pipeline import SOURCES, CaseLake
 from caselake.session import run_dir
 from caselake.sources import tables
 from caselake.sources.documents import sample
 from caselake.sources.files import file_date, rescue
 from caselake.sources.fixtures import Landing
+from caselake.sources.registry import FILE_FORMATS, SourceSpec, control_failures, seed
 from caselake.streaming import landing as stream
 
 AS_OF = dt.date(2026, 1, 1)
@@ -437,8 +441,155 @@ def partitioned_roundtrip(c: CaseLake) -> DataFrame:
 @register("stream_landing")
 def stream_landing(c: CaseLake) -> DataFrame:
     """Charges written as monthly CSV drops and drained by the landing stream."""
+    landed, spec = _landed_charges(c)
+    return landed.select(*spec.business_columns, "_rescued_data", F.col("_file_date").cast("timestamp_ntz").alias("_file_date"))
+
+
+def _landed_charges(c: CaseLake) -> tuple[DataFrame, SourceSpec]:
     spec, root = c.registry["charges"], _fresh(c, "drops")
     stream.write_drops(c.landing("charges"), spec, root)
     stream.land(c.spark, spec, root, f"{root}-landed", f"{root}-state").awaitTermination()
-    landed = stream.read_table(c.spark, f"{root}-landed")
-    return landed.select(*spec.business_columns, "_rescued_data", F.col("_file_date").cast("timestamp_ntz").alias("_file_date"))
+    return stream.read_table(c.spark, f"{root}-landed"), spec
+
+
+@register("landing_lineage")
+def landing_lineage(c: CaseLake) -> DataFrame:
+    """Rows of each landed drop by the lineage columns."""
+    landed, _ = _landed_charges(c)
+    file = F.regexp_extract("_source_file", r"charges_\d{14}\.csv", 0).alias("file")
+    rows = landed.select(file, F.col("_file_date").cast("timestamp_ntz").alias("file_date"), "_ingested_at")
+    return rows.groupBy("file", "file_date").agg(F.count("_ingested_at").alias("rows"))
+
+
+@register("land_all_sources")
+def land_all_sources(c: CaseLake) -> DataFrame:
+    """Every source dropped as CSV and landed side by side: rows, drops and rescued rows of each."""
+    root = _fresh(c, "sources")
+    for spec in c.registry.values():
+        stream.write_drops(c.landing(spec.name), spec, root)
+    stream.land_all(c.spark, c.registry.values(), root, f"{root}-landed", f"{root}-state")
+    drop = F.regexp_extract("_source_file", "drop=([^/]+)/", 1).alias("drop")
+    parts = [stream.read_table(c.spark, f"{root}-landed/{s}").select(F.lit(s).alias("source"), drop, "_rescued_data") for s in c.registry]
+    counts = reduce(DataFrame.unionByName, parts).groupBy("source")
+    return counts.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("drop").alias("drops"), F.count("_rescued_data").alias("rescued"))
+
+
+def _drifting(c: CaseLake, first: list, later: list, **options) -> DataFrame:
+    """Charges of even cases, then those of odd ones with other columns, landed in every format."""
+    root, even = _fresh(c, "drift"), F.col("pid").cast("long") % 2 == 0
+    base, parts = c.registry["charges"], []
+    for fmt in FILE_FORMATS:
+        spec = replace(base, name=f"charges_{fmt}", subfolder=fmt, file_format=fmt)
+        for name, rows, columns in (("first", c.landing("charges").where(even), first), ("later", c.landing("charges").where(~even), later)):
+            writer = rows.select(*columns).write.options(header=True, emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            writer.format(fmt).save(f"{root}/{fmt}/{name}")
+            stream.land(c.spark, spec, root, f"{root}-landed/{fmt}", f"{root}-state", **options).awaitTermination()
+        parts.append(stream.read_table(c.spark, f"{root}-landed/{fmt}").withColumn("format", F.lit(fmt)))
+    return reduce(lambda a, b: a.unionByName(b.select(*[F.col(f.name).cast(f.dataType) for f in a.schema])), parts)
+
+
+PLEA = F.concat(F.lit("P"), (F.col("pid").cast("long") % 3).cast("string")).alias("plea")
+
+
+@register("stream_landing_drift")
+def stream_landing_drift(c: CaseLake) -> DataFrame:
+    """A column appears in the middle of later files: the schema widens, nothing is lost or shifted."""
+    names = list(c.registry["charges"].business_columns)
+    landed = _drifting(c, names, [*names[:2], PLEA, *names[2:]])
+    return landed.select("format", *names, "plea", "_rescued_data")
+
+
+@register("stream_landing_rescued")
+def stream_landing_rescued(c: CaseLake) -> DataFrame:
+    """With a schema that stays: values that do not fit and columns it does not know are kept as JSON."""
+    number = F.col("pid").cast("int").alias("pid")
+    misfit = F.when(F.col("pid").cast("long") % 5 == 0, F.concat(F.lit("x"), "pid")).otherwise(F.col("pid")).alias("pid")
+    landed = _drifting(c, [number, "chargetype", "chargestatus"], [misfit, PLEA, "chargetype", "chargestatus"], evolve=False, column_types=True)
+    return landed.select("format", F.col("pid").cast("long").alias("pid"), "chargetype", "chargestatus", "_rescued_data")
+
+
+# --- the incremental build -----------------------------------------------------
+
+_LAKES: dict[str, Nightly] = {}
+
+
+def _nightly(c: CaseLake) -> Nightly:
+    """The lake after two loads, cut where the incremental queries cut, and a third one with late rows.
+
+    What the first load holds back arrives last, under older file and ingest times.
+    """
+    if c.namespace not in _LAKES:
+        lake = Nightly(c.spark, _fresh(c, "nightly"))
+        late = F.col("_file_date") < F.lit("1992-06-01").cast("timestamp_ntz")
+
+        def upto(source: str) -> DataFrame:
+            rows = c.landing(source)
+            return rows if source in ("events", "event_officers") else _cut(rows, False, "_file_date").where(~late)
+
+        def punctual(source: str) -> DataFrame:
+            rows = c.landing(source)
+            return rows if source in ("events", "event_officers") else rows.where(~late)
+
+        for n, landing in enumerate((upto, punctual, c.landing)):
+            lake.run(landing, c.as_of, dt.datetime(2026, 1, 1 + n))
+        _LAKES[c.namespace] = lake
+    return _LAKES[c.namespace]
+
+
+def _loaded(table: str) -> None:
+    """A table as three loads leave it, which is what one rebuild gives."""
+    register(f"nightly_{table}")(lambda c: _nightly(c).read("silver", table).select(*c.build(table).columns))
+
+
+for _table in ("dim_person", "dim_officer", "dim_case", "fact_event_officer", "fact_case_charge", "fact_case_officer"):
+    _loaded(_table)
+
+
+@register("nightly_rows_taken")
+def nightly_rows_taken(c: CaseLake) -> DataFrame:
+    """Rows each layer holds per source, by the audit stamp of the load that brought them."""
+    lake = _nightly(c)
+    parts = [lake.read("bronze", s).select(F.lit(s).alias("source"), F.dayofmonth("_bronze_loaded_at").alias("load")) for s in SOURCES]
+    return reduce(DataFrame.unionByName, parts).groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("load").alias("loads"))
+
+
+@register("checked_append")
+def checked_append(c: CaseLake) -> DataFrame:
+    """Bronze charges appended in two loads to one partitioned table; a changed schema would be refused."""
+    path, spec = _fresh(c, "append"), c.registry["charges"]
+    for after in (False, True):
+        rows = to_bronze(_cut(c.landing("charges"), after, "_file_date"), spec, loaded_at=c.loaded_at)
+        append_checked(rows.withColumn("year", F.year("_file_date")), path, ["year"])
+    return c.spark.read.parquet(path).drop("year")
+
+
+# --- catalog tables and control tables ------------------------------------------
+
+
+def _saved(c: CaseLake) -> str:
+    """The workload mart as a catalog table with comments, its files in the shared folder."""
+    name = f"caselake_workload_{c.namespace}"
+    tables.execute(c.spark, f"DROP TABLE IF EXISTS {name}")
+    tables.save_table(c.table("case_officer_workload"), name, COMMENTS["case_officer_workload"], path=_fresh(c, "catalog"))
+    return name
+
+
+register("catalog_scan")(lambda c: tables.scan_table(c.spark, _saved(c)))
+
+
+@register("catalog_statement")
+def catalog_statement(c: CaseLake) -> DataFrame:
+    """A statement without result (a view over a catalog table), then a scan of what it made."""
+    name = _saved(c)
+    tables.execute(c.spark, f"CREATE OR REPLACE TEMPORARY VIEW {name}_open AS SELECT * FROM {name} WHERE case_status <> 'DISP'")
+    return tables.scan_table(c.spark, f"{name}_open").groupBy("case_status").agg(F.sum("case_count").alias("case_count"))
+
+
+@register("control_table_failures")
+def control_table_failures(c: CaseLake) -> DataFrame:
+    """Failing rows of the control tables, over the packaged ones with a source that was landed twice added."""
+    rows = [seed(c.spark, n) for n in ("metadata_tables", "metadata_columns")]
+    landed = c.landing("cases").groupBy("directorate").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "directorate").limit(1)
+    doubled = landed.select(F.lit("cases").alias("source_name"), F.col("directorate").alias("subfolder"), F.lit("xml").alias("file_format"), F.lit("x").alias("date_pattern"), F.lit(None).cast("string").alias("date_format"), F.lit(None).cast("string").alias("natural_key"), F.lit(True).alias("active"))
+    orphans = landed.select(F.col("directorate").alias("source_name"), F.lit("a").alias("source_column"), F.lit("a").alias("target_column"), F.lit("MONEY").alias("data_type"), F.lit(True).alias("nullable"), F.lit(None).cast("boolean").alias("active"))
+    return control_failures(rows[0].unionByName(doubled), rows[1].unionByName(orphans))

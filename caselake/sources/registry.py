@@ -8,11 +8,15 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
+from functools import reduce
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caselake.operators import checks
+
 # Metadata type names and landing formats.
 DATA_TYPES = {
     "STRING": "string",
@@ -107,6 +111,36 @@ def seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema])
 
 
+def control_failures(tables: DataFrame, columns: DataFrame) -> DataFrame:
+    """control_table, rule, key: every row of the control tables that breaks a rule of theirs.
+
+    Not null and unique names and folders of sources, known formats and types, and columns
+    of known sources only. Every row is one failure; a repeated value is one row.
+    """
+    found = []
+
+    def add(df: DataFrame, table: str, rule: str, key: str) -> None:
+        found.append(df.select(F.lit(table).alias("control_table"), F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key")))
+
+    for table, df, key in (("metadata_tables", tables, "source_name"), ("metadata_columns", columns, "source_column")):
+        for f in SEED_SCHEMAS[table]:
+            if not f.nullable:
+                add(checks.not_null(df, f.name), table, f"not_null {f.name}", key)
+    for name in ("source_name", "subfolder"):
+        add(checks.unique_column(tables, name), "metadata_tables", f"unique {name}", name)
+    add(checks.accepted_values(tables, "file_format", list(FILE_FORMATS)), "metadata_tables", "accepted file_format", "file_format")
+    add(checks.accepted_values(columns, "data_type", list(DATA_TYPES)), "metadata_columns", "accepted data_type", "data_type")
+    add(checks.relationships(columns, "source_name", tables, "source_name"), "metadata_columns", "source of a column", "source_name")
+    return reduce(DataFrame.unionByName, found)
+
+
+def checked(tables: DataFrame, columns: DataFrame) -> None:
+    """Refuse control tables with failing rows, before anything is made from them."""
+    failures = control_failures(tables, columns).limit(20).collect()
+    if failures:
+        raise ValueError("control tables: " + "; ".join(f"{r['control_table']}: {r['rule']}: {r['key']}" for r in failures))
+
+
 def load_registry(
     spark: SparkSession | None = None, tables_path: str | None = None, columns_path: str | None = None
 ) -> dict[str, SourceSpec]:
@@ -114,8 +148,10 @@ def load_registry(
     if tables_path is None and columns_path is None:
         tables, columns = seed_rows("metadata_tables"), seed_rows("metadata_columns")
     else:
-        tables = [r.asDict() for r in seed(spark, "metadata_tables", tables_path).where("active").collect()]
-        columns = [r.asDict() for r in seed(spark, "metadata_columns", columns_path).where("active").collect()]
+        given, its_columns = seed(spark, "metadata_tables", tables_path), seed(spark, "metadata_columns", columns_path)
+        checked(given, its_columns)
+        tables = [r.asDict() for r in given.where("active").collect()]
+        columns = [r.asDict() for r in its_columns.where("active").collect()]
     specs = {}
     for t in tables:
         if not _flag(t["active"]):

@@ -43,7 +43,8 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     )
 
 
-def save_table(df: DataFrame, name: str, comments: dict[str, str] | None = None, by: list[str] | None = None) -> None:
-    """Managed table with comments on columns, rebuilt in full."""
+def save_table(df: DataFrame, name: str, comments: dict[str, str] | None = None, by: list[str] | None = None, path: str | None = None) -> None:
+    """Catalog table with comments on columns, rebuilt in full; managed, or with its files at ``path``."""
     writer = with_comments(df, comments or {}).write.mode("overwrite").format("parquet")
+    writer = writer.option("path", path) if path else writer
     (writer.partitionBy(*by) if by else writer).saveAsTable(name)

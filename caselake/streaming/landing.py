@@ -1,4 +1,10 @@
-"""Incremental landing: every file of a drop folder once, then stop."""
+"""Incremental landing: every file of a drop folder once, then stop.
+
+The stream itself carries file names only; each batch of files is read as what its
+files say they are and fitted to the newest version of the source's schema
+(``sources.evolution``). A batch has a folder of its own in the landing table, so a batch
+that is repeated after a failure replaces itself, and readers can tell batches apart.
+"""
 
 from __future__ import annotations
 
@@ -9,49 +15,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from caselake.operators.merge import path_exists
-from caselake.sources.files import CORRUPT, infer_schema, load_schema, rescue, save_schema, text_schema, with_lineage
+from caselake.sources.evolution import SchemaLog, land_files, landed_schema
+from caselake.sources.files import infer_schema
 from caselake.sources.registry import SourceSpec
 
 FILES_PER_TRIGGER = 1000
+#: Column that tells the batches of a landing table apart.
+BATCH = "_batch"
+SCHEMAS = "_schemas"
 
 
 def landing_schema(spark: SparkSession, spec: SourceSpec, folder: str, schema_path: str, column_types: bool = False) -> T.StructType:
     """Schema of a source: inferred on the first run, kept, and reused after."""
-    if not path_exists(spark, schema_path):
-        save_schema(spark, infer_schema(spark, spec.file_format, folder, column_types), schema_path)
-    return load_schema(spark, schema_path)
-
-
-def landing_stream(spark: SparkSession, spec: SourceSpec, folder: str, schema: T.StructType) -> DataFrame:
-    """File stream of one source: text columns, lineage, rescued values.
-
-    Text formats are read as text and typed afterwards, so that a value that does
-    not fit its column is kept in ``_rescued_data`` instead of being lost.
-    """
-    reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", FILES_PER_TRIGGER)
-    if spec.file_format == "parquet":
-        return rescue(with_lineage(reader.schema(schema).parquet(folder), spec), {})
-    reader = reader.schema(text_schema(schema.fieldNames())).option("columnNameOfCorruptRecord", CORRUPT)
-    raw = reader.option("header", "true").csv(folder) if spec.file_format == "csv" else reader.json(folder)
-    types = {f.name: f.dataType.simpleString() for f in schema}
-    return rescue(with_lineage(raw, spec), types, CORRUPT)
+    log = SchemaLog(spark, schema_path)
+    return log.read() or log.start(infer_schema(spark, spec.file_format, folder, column_types))
 
 
-def land(spark: SparkSession, spec: SourceSpec, root: str, table: str, state: str, column_types: bool = False) -> StreamingQuery:
+def land(
+    spark: SparkSession, spec: SourceSpec, root: str, table: str, state: str, column_types: bool = False, evolve: bool = True
+) -> StreamingQuery:
     """Start draining one source folder into its landing table.
 
     The checkpoint in ``state`` remembers which files were taken, so a rerun
-    appends only new ones and a failed run resumes where it stopped.
+    appends only new ones and a failed run resumes where it stopped. With
+    ``evolve`` new columns widen the schema, else they are rescued.
     """
-    folder = f"{root}/{spec.subfolder}"
-    schema = landing_schema(spark, spec, folder, f"{state}/{spec.name}/schema", column_types)
+    log = SchemaLog(spark, f"{table}/{SCHEMAS}")
+
+    def take(files: DataFrame, batch: int) -> None:
+        paths = sorted(r["path"] for r in files.select("path").collect())  # at most FILES_PER_TRIGGER
+        if paths:
+            rows = land_files(spark, spec, paths, log, evolve, column_types)
+            rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch}")
+
+    names = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", FILES_PER_TRIGGER)
     return (
-        landing_stream(spark, spec, folder, schema)
-        .writeStream.format("parquet")
-        .outputMode("append")
+        names.load(f"{root}/{spec.subfolder}")
+        .select("path")  # contents are not read here
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", f"{state}/{spec.name}/checkpoint")
-        .option("path", table)
         .trigger(availableNow=True)
         .queryName(f"land_{spec.name}")
         .start()
@@ -65,8 +67,14 @@ def land_all(spark: SparkSession, specs: Iterable[SourceSpec], root: str, tables
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """Landing table with columns that appeared over time."""
-    return spark.read.option("mergeSchema", "true").parquet(table)
+    """Landing table in the newest version of its schema; ``_batch`` is the batch a row came with.
+
+    Columns that appeared later are NULL in earlier files. The schema comes from the log,
+    so no footers are merged.
+    """
+    schema = SchemaLog(spark, f"{table}/{SCHEMAS}").read() or T.StructType()
+    whole = T.StructType([*landed_schema(schema).fields, T.StructField(BATCH, T.IntegerType())])
+    return spark.read.schema(whole).parquet(table)
 
 
 def write_drops(df: DataFrame, spec: SourceSpec, root: str, stamp: str = "_file_date") -> None:

@@ -9,37 +9,67 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm import decontaminate, mixing, near_copies, token_files, toxicity
+from caselake.llm import decontaminate, mixing, simhash, token_files, toxicity
 from caselake.llm.queries import table, tokenizer_path
 from caselake.llm.storage import materialized
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column has it; Spark does not tell cases apart."""
+    used = {c.lower() for c in taken}
+    while name in used:
+        name += "_"
+    return name
+
+
+def _named(names: list[str]) -> list[Column]:
+    """Columns by their whole names, dots and all."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the ordinal model does not reject. Repeated rows share their verdict."""
+    """Documents the ordinal model does not reject.
+
+    A null or empty text has no marked word and stays, unless the model rejects texts
+    without any; repeated rows share their verdict; a null doc_id is scored like any
+    other; columns of any name and type are kept; an empty table gives no row.
+    """
+    names = docs.columns
+    verdict = _free("_tox", names)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).where(~F.col("_tox.toxic")).select(*docs.columns)
+    return toxicity.scored(docs, model, into=verdict).where(~F.col(f"{verdict}.toxic")).select(*_named(names))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8): that with the smallest doc_id.
+    """One document of each group of SimHash near duplicates: that with the smallest doc_id.
 
-    Of texts under that id, or without any, the one with the smallest hash stands for
-    the group; of rows that repeat both, the smallest.
+    Rows are numbered and the table written first, so a row is itself whatever it holds:
+    among rows of one doc_id, or without any, that of the smallest text hash stays, of rows
+    that agree in both, the first. A group without any doc_id keeps one row. Null and empty
+    texts have one fingerprint and are one group. An empty table gives no row.
     """
-    kept = near_copies.representatives(docs).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
-    same = docs["doc_id"].eqNullSafe(kept["_doc"]) & (F.xxhash64(docs["text"]) == kept["_key"])
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.join(kept, same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_key"))
-    return rows.agg(F.min(row).alias("_row")).select("_row.*")
+    names = docs.columns
+    row = _free("_row", names)
+    numbered = materialized(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = simhash.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), simhash.SHINGLE, simhash.RADIUS)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), F.col(row).alias("row"))
+    rows = numbered.select(F.col(row).alias("doc_id"), order.alias("order"))
+    first = groups.join(rows, "doc_id").groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.row").alias("kept"))
+    return numbered.join(first, numbered[row] == first["kept"], "left_semi").select(*_named(names))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    A null or empty text holds none; rows are judged by their own text, so a null or shared
+    doc_id does not carry a verdict over to another text, and repeated rows share theirs;
+    other columns are kept as they are; an empty table or benchmark drops nothing.
+    """
     found = decontaminate.contaminated_texts(docs, table(spark, sf_dir, "benchmark"))
     found = found.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
     same = docs["doc_id"].eqNullSafe(found["_doc"]) & (F.xxhash64(docs["text"]) == found["_key"])
@@ -47,16 +77,24 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    names = docs.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
+    """Each document as often as the mix takes it.
+
+    A null source is a source of its own; a null or empty text has size 0 and comes as often
+    as its place in the order says; repeated rows and rows without doc_id have places of their
+    own; columns of any name and type are kept; an empty table gives no row.
+    """
+    row = F.struct(*_named(docs.columns)).alias("_row")
     sized = docs.select("doc_id", "source", mixing.words(F.col("text")).alias("size"), row)
     taken = mixing.mixed(sized).where(F.col("_copies") > 0)
     return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document in the token files."""
+    """doc_id, start, n_tokens, ids_crc32 of every document in the token files.
+
+    A null text has the end id only; a null doc_id comes first; repeated rows are written as
+    often as they occur; an empty table gives no row.
+    """
     return token_files.roundtrip(spark, docs, tokenizer_path())
 
 

@@ -292,3 +292,48 @@ GROUP BY 1, 2""",
 add("csv_roundtrip", "SELECT * FROM report_entities")
 add("partitioned_roundtrip", "SELECT * FROM fact_case_charge")
 add("stream_landing", "SELECT pid, chargeno, chargetype, chargestatus, offencedt, filingdt, _rescued_data, _file_date FROM landing_charges")
+LATE = "TIMESTAMP '1992-06-01 00:00:00'"
+FORMATS = "(VALUES ('csv'), ('json'), ('parquet')) f(format)"
+ODD = "CAST(pid AS BIGINT) % 2 = 1"
+PLEA = "'P' || CAST(CAST(pid AS BIGINT) % 3 AS VARCHAR)"
+add(
+    "stream_landing_drift",
+    f"SELECT format, pid, chargeno, chargetype, chargestatus, offencedt, filingdt, CASE WHEN {ODD} THEN {PLEA} END AS plea, CAST(NULL AS VARCHAR) AS _rescued_data FROM landing_charges, {FORMATS}",
+)
+add(
+    "stream_landing_rescued",
+    f"""
+SELECT format, CASE WHEN {ODD} AND CAST(pid AS BIGINT) % 5 = 0 THEN NULL ELSE CAST(pid AS BIGINT) END AS pid, chargetype, chargestatus,
+  CASE WHEN {ODD} THEN '{{' || CASE WHEN CAST(pid AS BIGINT) % 5 = 0 THEN '"pid":"x' || pid || '",' ELSE '' END || '"plea":"' || {PLEA} || '"}}' END AS _rescued_data
+FROM landing_charges, {FORMATS}""",
+)
+add("landing_lineage", "SELECT 'charges_' || strftime(_file_date, '%Y%m%d%H%M%S') || '.csv' AS file, _file_date AS file_date, count(*) AS rows FROM landing_charges GROUP BY 1, 2")
+add(
+    "land_all_sources",
+    " UNION ALL ".join(f"SELECT '{s}' AS source, count(*) AS rows, count(DISTINCT _file_date) AS drops, 0 AS rescued FROM landing_{s}" for s in BRONZE),
+)
+
+# --- the incremental build: what loads in any order leave is what one rebuild gives
+for _t in ("dim_person", "dim_officer", "dim_case", "fact_case_charge", "fact_case_officer"):
+    add(f"nightly_{_t}", f"SELECT * FROM {_t}")
+add("nightly_fact_event_officer", f"{EVENT_FACT} fact_event_officer")
+add(
+    "nightly_rows_taken",
+    " UNION ALL ".join(
+        f"SELECT '{s}' AS source, count(*) AS rows, count(DISTINCT {'1' if s in ('events', 'event_officers') else f'CASE WHEN _file_date < {LATE} THEN 3 WHEN _file_date < {CUT} THEN 1 ELSE 2 END'}) AS loads FROM bronze_{s}"
+        for s in BRONZE
+    ),
+)
+add("checked_append", "SELECT * FROM bronze_charges")
+
+# --- catalog tables and control tables
+add("catalog_scan", "SELECT * FROM case_officer_workload")
+add("catalog_statement", "SELECT case_status, sum(case_count) AS case_count FROM case_officer_workload WHERE case_status <> 'DISP' GROUP BY case_status")
+add(
+    "control_table_failures",
+    """
+SELECT control_table, rule, coalesce(key, directorate) AS key FROM largest, (VALUES
+  ('metadata_tables', 'not_null natural_key', 'cases'), ('metadata_tables', 'unique source_name', 'cases'), ('metadata_tables', 'accepted file_format', 'xml'),
+  ('metadata_columns', 'not_null active', 'a'), ('metadata_columns', 'accepted data_type', 'MONEY'), ('metadata_columns', 'source of a column', NULL)) v(control_table, rule, key)""",
+    largest="SELECT directorate FROM landing_cases GROUP BY 1 ORDER BY count(*) DESC, directorate LIMIT 1",
+)

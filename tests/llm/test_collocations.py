@@ -47,7 +47,6 @@ def found(spark, rows, longest=5, least=4, first=50):
 @pytest.mark.parametrize("seed,stream", [(1, 1 << 24), (2, 300), (3, 60)])
 def test_equals_counts_of_all_phrases(spark, monkeypatch, seed, stream):
     monkeypatch.setattr(collocations, "STREAM", stream)
-    monkeypatch.setattr(collocations, "ROWS", 7)
     rng = random.Random(seed)
     rows = []
     for i in range(120):

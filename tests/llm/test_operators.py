@@ -112,7 +112,7 @@ def test_token_files_hold_every_id(spark, odd, nothing):
 def test_pieces_give_the_librarys_ids():
     import pyarrow as pa
 
-    rnd, encoder, tokenizer = random.Random(5), tokens.PieceEncoder(tokenizer_path(), remembered=50), tokens.load(tokenizer_path())
+    rnd, encoder, tokenizer = random.Random(5), tokens.PieceEncoder(tokenizer_path(), remembered=2000), tokens.load(tokenizer_path())
     parts = ["a", "B", "'s", " ", "\n", " ", "\x1c", "<|endoftext|>", "<|ENDOFTEXT|>", "Σ", "İ", "é", "́", "1", "²", "漢", "😀", ".", ",", "Don't", "\x0b", "ſ"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(3000)] + ["", None]
     n = 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from caselake.llm import decontaminate, mixing, near_copies, toxicity
+from caselake.llm import decontaminate, mixing, simhash, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +24,7 @@ def test_stages_keep_what_they_should(spark):
 
     one = stages["near_duplicates"](spark, docs, SF)
     assert one.columns == docs.columns
-    assert {r["doc_id"] for r in one.collect()} == {r["component_id"] for r in near_copies.near_copies(docs).collect()}
+    assert {r["doc_id"] for r in one.collect()} == {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
 
     clean = stages["decontamination"](spark, docs, SF)
     items = [decontaminate.normal(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -55,13 +55,51 @@ def test_stages_on_an_empty_table(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
-def test_near_duplicates_without_ids_and_with_shared_ids(spark):
-    first, second, third, fourth = (" ".join(f"{c}{k}" for k in range(100)) for c in "abcd")
-    given = [(None, first), (None, second), (None, second + " end"), (1, third), (None, third), (2, fourth), (2, third + " end"), (2, fourth)]
-    docs = spark.createDataFrame([(i, t, "s", n) for n, (i, t) in enumerate(given)], "doc_id long, text string, source string, n int").repartition(3)
-    kept = [(r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()]
-    assert len(kept) == 4 and (None, first) in kept and (1, third) in kept and (2, fourth) in kept
-    assert ((None, second) in kept) + ((None, second + " end") in kept) == 1
+def groups(texts):
+    """Group number of each text, from all pairs of fingerprints."""
+    codes = [simhash.fingerprint(t) for t in texts]
+    of = list(range(len(codes)))
+    for i, a in enumerate(codes):
+        for j, b in enumerate(codes[:i]):
+            if (a ^ b).bit_count() <= simhash.RADIUS:
+                of = [of[j] if x == of[i] else x for x in of]
+    return of
+
+
+def test_near_duplicates_keep_one_of_each_group(spark):
+    first, second, third, fourth = (" ".join(f"{c}{k}" for k in range(400)) for c in "abcd")
+    given = [(None, first), (None, second), (None, second + " end"), (1, third), (None, third), (2, fourth), (2, third + " end"), (2, fourth), (3, None), (None, ""), (4, " ")]
+    docs = spark.createDataFrame([(i, t, "s", n, {"k": n}, "x") for n, (i, t) in enumerate(given)], "doc_id long, text string, source string, _row int, `a.b` map<string,int>, component_id string").repartition(3)
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    assert out.columns == docs.columns and out.schema["a.b"].dataType == docs.schema["a.b"].dataType
+    kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    of = groups([t for _, t in given])
+    assert len(kept) == len(set(of))
+    for g in set(of):
+        members = [r for r, k in zip(given, of) if k == g]
+        least = min((i for i, _ in members if i is not None), default=None)
+        assert sum(r in members and r[0] == least for r in kept) == 1
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    held = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    of = groups([t for _, t in held])
+    want = {min(i for (i, _), k in zip(held, of) if k == g) for g in set(of)}
+    assert sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()) == sorted(want)
+
+
+def test_odd_rows_and_names_pass_every_stage(spark, odd):
+    """Nulls in any column, very long texts, repeated rows, and names the stages use themselves."""
+    docs = odd.withColumns({"_tox": F.lit("mine"), "_row": F.col("doc_id"), "_doc": F.lit(1), "_key": F.lit(2), "_copies": F.lit(9), "a.b": F.create_map(F.lit("k"), F.lit(1)), "toxic": F.lit(None).cast("boolean")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.schema.names == docs.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+        got = out.collect()
+        assert got and all(r["_tox"] == "mine" and r["_copies"] == 9 and r["a.b"] == {"k": 1} for r in got), name
+        if name in ("toxicity", "decontamination"):
+            assert len(got) == docs.count(), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
 
 
 def test_decontamination_by_row(spark):

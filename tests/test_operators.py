@@ -16,7 +16,7 @@ from caselake.operators.dedup import latest_by
 from caselake.operators.filters import choose, optional_filters, selected
 from caselake.operators.history import empty_history, observed_history, observed_versions, snapshot_step, version_step
 from caselake.operators.joins import lookup, sentinel_join
-from caselake.operators.merge import append_checked, read_current, replace_keys, upsert, upsert_partitions, write_version
+from caselake.operators.merge import append_checked, upsert
 from caselake.operators.pivots import pivot_all, pivot_sum
 from caselake.operators.quality import add_flags, to_quality
 from caselake.operators.watermark import high_water_mark, newer_than
@@ -191,20 +191,6 @@ def test_upsert_is_null_safe_and_idempotent(spark):
     assert as_rows(upsert(once, source, ["a", "b"])) == as_rows(once)
 
 
-def test_partition_upsert_moves_keys_and_empties_partitions(spark, tmp_path):
-    schema = "k int, v string, p string"
-    path, n = str(tmp_path / "t"), iter(range(9))
-    stage = lambda: str(tmp_path / f"s{next(n)}")
-    upsert_partitions(path, spark.createDataFrame([(1, "a", "x"), (2, "b", "y/z"), (3, "c", "w")], schema), ["k"], ["p"], stage())
-    untouched = sorted((tmp_path / "t" / "p=w").glob("*.parquet"))
-    upsert_partitions(path, spark.createDataFrame([(2, "B", "x"), (4, "d", None)], schema), ["k"], ["p"], stage())
-    assert as_rows(spark.read.parquet(path)) == [("1", "x", "a"), ("2", "x", "B"), ("3", "w", "c"), ("4", "None", "d")]
-    assert untouched and sorted((tmp_path / "t" / "p=w").glob("*.parquet")) == untouched
-    gone = spark.createDataFrame([(4,), (1,)], "k int")
-    replace_keys(path, spark.createDataFrame([], schema), gone, ["k"], ["p"], stage())
-    assert as_rows(spark.read.parquet(path)) == [("2", "x", "B"), ("3", "w", "c")]
-
-
 def test_append_refuses_another_schema(spark, tmp_path):
     path = str(tmp_path / "b")
     append_checked(spark.createDataFrame([(1, "x")], "a int, p string"), path, ["p"])
@@ -216,13 +202,6 @@ def test_append_refuses_another_schema(spark, tmp_path):
         append_checked(spark.createDataFrame([(2, 3, "x")], "a int, c int, p string"), path, ["p"])
 
 
-def test_a_table_can_be_rebuilt_from_itself(spark, tmp_path):
-    path = str(tmp_path / "v")
-    write_version(spark.range(3).toDF("a"), path)
-    write_version(read_current(spark, path).selectExpr("a + 1 AS a"), path)
-    assert as_rows(read_current(spark, path)) == [("1",), ("2",), ("3",)]
-
-
 def test_filters_and_choice(spark):
     df = spark.createDataFrame([("a", "2024"), ("b", "2025"), (None, "2025")], "c string, y string")
     assert selected(["All Saints"]) == ["All Saints"]
@@ -248,11 +227,3 @@ def test_checks_return_failing_rows(spark):
     assert checks.passes(checks.unique_column(df.where("n > 1"), "k"))
     assert as_rows(checks.relationships(df, "k", spark.createDataFrame([("a",)], "id string"), "id")) == [("c", "3")]
     assert as_rows(checks.accepted_values(df, "k", ["c"])) == [("2", "a")]
-
-
-def test_many_partitions_do_not_deepen_the_filter(spark):
-    from caselake.operators.merge import _of_partitions
-
-    target = spark.range(6000).select("id", (F.col("id") % 3000).cast("string").alias("p"), (F.col("id") % 2).alias("q"))
-    wanted = {(str(i), i % 2) for i in range(0, 4000, 2)}
-    assert _of_partitions(target, ["p", "q"], wanted).count() == sum((str(i % 3000), i % 2) in wanted for i in range(6000))
