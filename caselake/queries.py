@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -488,14 +488,15 @@ def _drifting(c: CaseLake, first: list, later: list, **options) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b.select(*[F.col(f.name).cast(f.dataType) for f in a.schema])), parts)
 
 
-PLEA = F.concat(F.lit("P"), (F.col("pid").cast("long") % 3).cast("string")).alias("plea")
+def _plea() -> Column:
+    return F.concat(F.lit("P"), (F.col("pid").cast("long") % 3).cast("string")).alias("plea")
 
 
 @register("stream_landing_drift")
 def stream_landing_drift(c: CaseLake) -> DataFrame:
     """A column appears in the middle of later files: the schema widens, nothing is lost or shifted."""
     names = list(c.registry["charges"].business_columns)
-    landed = _drifting(c, names, [*names[:2], PLEA, *names[2:]])
+    landed = _drifting(c, names, [*names[:2], _plea(), *names[2:]])
     return landed.select("format", *names, "plea", "_rescued_data")
 
 
@@ -504,7 +505,7 @@ def stream_landing_rescued(c: CaseLake) -> DataFrame:
     """With a schema that stays: values that do not fit and columns it does not know are kept as JSON."""
     number = F.col("pid").cast("int").alias("pid")
     misfit = F.when(F.col("pid").cast("long") % 5 == 0, F.concat(F.lit("x"), "pid")).otherwise(F.col("pid")).alias("pid")
-    landed = _drifting(c, [number, "chargetype", "chargestatus"], [misfit, PLEA, "chargetype", "chargestatus"], evolve=False, column_types=True)
+    landed = _drifting(c, [number, "chargetype", "chargestatus"], [misfit, _plea(), "chargetype", "chargestatus"], evolve=False, column_types=True)
     return landed.select("format", F.col("pid").cast("long").alias("pid"), "chargetype", "chargestatus", "_rescued_data")
 
 

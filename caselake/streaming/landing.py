@@ -23,6 +23,8 @@ FILES_PER_TRIGGER = 1000
 #: Column that tells the batches of a landing table apart.
 BATCH = "_batch"
 SCHEMAS = "_schemas"
+#: What Spark's reader of whole files returns.
+FILE_ROW = "path string, modificationTime timestamp, length long, content binary"
 
 
 def landing_schema(spark: SparkSession, spec: SourceSpec, folder: str, schema_path: str, column_types: bool = False) -> T.StructType:
@@ -48,7 +50,7 @@ def land(
             rows = land_files(spark, spec, paths, log, evolve, column_types)
             rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch}")
 
-    names = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+    names = spark.readStream.format("binaryFile").schema(FILE_ROW).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", FILES_PER_TRIGGER)
     return (
         names.load(f"{root}/{spec.subfolder}")
         .select("path")  # contents are not read here
