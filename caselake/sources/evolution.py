@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,7 +108,7 @@ def like_schemas(spark: SparkSession, files: list[str]) -> Iterator[tuple[T.Stru
     """Parquet files in groups whose schemas merge. Footers are read by tasks; a conflict halves the group."""
     try:
         yield spark.read.option("mergeSchema", "true").parquet(*files).schema, files
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):  # schemas that do not merge come as either, by where Spark notices
         if len(files) == 1:
             raise
         half = len(files) // 2
