@@ -310,7 +310,7 @@ FROM landing_charges, {FORMATS}""",
 add("landing_lineage", "SELECT 'charges_' || strftime(_file_date, '%Y%m%d%H%M%S') || '.csv' AS file, _file_date AS file_date, count(*) AS rows FROM landing_charges GROUP BY 1, 2")
 add(
     "land_all_sources",
-    " UNION ALL ".join(f"SELECT '{s}' AS source, count(*) AS rows, count(DISTINCT _file_date) AS drops, 0 AS rescued FROM landing_{s}" for s in BRONZE),
+    " UNION ALL ".join(f"SELECT '{s}' AS source, count(*) AS rows, count(DISTINCT _file_date) AS drops, CAST(0 AS BIGINT) AS rescued FROM landing_{s}" for s in BRONZE),
 )
 
 # --- the incremental build: what loads in any order leave is what one rebuild gives
