@@ -328,7 +328,7 @@ add("checked_append", "SELECT * FROM bronze_charges")
 
 # --- catalog tables and control tables
 add("catalog_scan", "SELECT * FROM case_officer_workload")
-add("catalog_statement", "SELECT case_status, sum(case_count) AS case_count FROM case_officer_workload WHERE case_status <> 'DISP' GROUP BY case_status")
+add("catalog_statement", "SELECT case_status, CAST(sum(case_count) AS BIGINT) AS case_count FROM case_officer_workload WHERE case_status <> 'DISP' GROUP BY case_status")
 add(
     "control_table_failures",
     """
