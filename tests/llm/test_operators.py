@@ -6,6 +6,7 @@ import hashlib
 import io
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -494,3 +495,61 @@ def test_every_sensitive_name_can_be_reported(word):
     assert sensitive_literals(f"{word} = 'aB3$xY9!kL2#qW7&'") == ["aB3$xY9!kL2#qW7&"]
     if word == "pin":
         assert sensitive_literals("pin = '48150623'") == ["48150623"]
+
+
+KEY = "aB3$xY9!kL2#qW7&"
+
+
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        (f"pwd = `{KEY}\nmore`", [f"{KEY}\nmore"]),
+        (f'x = """{KEY}"""\nauth_key = x', [KEY]),
+        (f"r = {{'pwd': b'{KEY}'}}", [KEY]),
+        (f'login(user="bob", passwd="{KEY}")', [KEY]),
+        (f'set_password("{KEY}")', [KEY]),
+        (f'setenv("API_KEY", "{KEY}")', [KEY]),
+        (f'd["pwd"] = "{KEY}"', [KEY]),
+        (f'pwd: str = "{KEY}"', [KEY]),
+        (f'pwd += "{KEY}"', [KEY]),
+        (f'pwd = ("{KEY}"\n  "zz9X")', [KEY, "zz9X"]),
+        (f'<add key="clientSecret" value="{KEY}"/>', [KEY]),
+        (f"private_key: |\n  {KEY}\n  abcDEF123\nother: 1", [f"{KEY}\n  abcDEF123"]),
+        (f'private_key: >-\nother: "{KEY}"', []),
+        (f'secret_key = K\nK = L\nL = "{KEY}"', [KEY]),
+        (f'K = "{KEY}"\nK = "x"\nsecret_key = K', []),
+        ("a = b\nb = a\npwd = a", []),
+        ('conn = "Server=x;pwd=aB3xY9kL2qW7;"', ["aB3xY9kL2qW7"]),
+        ("don't; pwd = 'aB3$xY9!kL2' it's", ["aB3$xY9!kL2"]),
+        (f'token_type = "{KEY}"\npassword_hint = "{KEY}"', []),
+        ("auth = request.headers", []),
+        (f'pwd = read("{KEY}")', []),
+        (f'pwd = "open {KEY}', []),
+        ("", []),
+    ],
+)
+def test_lexed_pairs(text, found):
+    assert sensitive_literals(text) == found
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["x = 1 " + "0123456789abcdef" * 65536, "k: " + "aZ_-9" * 200_000, '\\"' * 300_000 + "=", "'" * 500_000 + "=", "a'" * 300_000 + "=", "`" * 499_999 + "=", "<a>" * 200_000, "a=(" * 100_000, "k: |\n" * 100_000, ": " * 250_000, "a = b + " * 50_000]
+    + ["".join(f"p{i} = p{i + 1}\n" for i in range(50_000)), "k: |\n" + "".join(" " * (i % 900) + "k: |\n" for i in range(1000)), "".join(f"password = 'aB3x{i}Y9kL2qW7'\n" for i in range(50_000))],
+    ids=lambda t: t[:6].replace("\n", " "),
+)
+def test_a_scan_takes_time_in_proportion(text):
+    """Texts that cost the square of their length where starts inside runs are tried or literals left open are read again."""
+    began = time.process_time()
+    secret_scan.scan(text)
+    assert time.process_time() - began < 5
+
+
+def test_literals_inside_base_spans_are_not_told_again():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choices(["password", "pwd", "=", ": ", "'", '"', " ", "\n", "aB3xY9kL2q", "AKIA" + "Z" * 14, "0123456789abcdef" * 2, "+", "(", ")", "`"], k=25))
+        spans = secret_scan.scan(text)
+        base = [(s, e) for s, k, e in spans if k < 3]
+        want = {(s, e) for s, e in secret_scan.assigned_literals(text) if not any(a <= s and e <= b for a, b in base)}
+        assert {(s, e) for s, k, e in spans if k == 3} == want
