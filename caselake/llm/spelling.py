@@ -51,19 +51,27 @@ BATCH = 1 << 21
 INDEX = pa.schema([("pivot", pa.bool_()), ("key", pa.int64()), ("word", pa.string()), ("n", pa.int64()), ("last", pa.string())])
 
 
-def runs(docs: DataFrame) -> DataFrame:
-    """run: every maximal run of letters, lower-cased, one in ``DAMAGED`` with a letter less."""
-    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    found = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(F.split(text, NO_RUN)).alias("run"))
+def runs(docs: DataFrame, least: int = 1) -> DataFrame:
+    """run: maximal runs of letters, lower-cased, one in ``DAMAGED`` with a letter less, that have ``least`` code points then.
+
+    Short runs go before anything is computed for them; only those of ``least`` code points
+    need their hash to know whether they stay.
+    """
+    found = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(F.split(F.coalesce("text", F.lit("")), NO_RUN)).alias("run"))
+    # a run without letters beyond ASCII needs no table
+    ascii_only = F.octet_length("run") == F.length("run")
+    lowered = F.when(ascii_only, F.lower("run")).otherwise(F.translate("run", UPPER, LOWER))
+    found = found.where(F.length("run") >= least).select("id", lowered.alias("run"))
     h = F.crc32(F.concat("id", F.lit(":"), "run"))
     at = (h % F.length("run")).cast("int")
     less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
-    return found.where(F.length("run") > 0).select(F.when(h % DAMAGED == 0, less).otherwise(F.col("run")).alias("run"))
+    stays = (F.length("run") > least) | (h % DAMAGED != 0)
+    return found.where(stays).select(F.when(h % DAMAGED == 0, less).otherwise(F.col("run")).alias("run"))
 
 
 def vocabulary(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT) -> DataFrame:
     """word, n: the words and how often they occur; counted in each task before the shuffle."""
-    words = runs(docs).where(F.length("run") >= least_length).groupBy(F.col("run").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    words = runs(docs, least_length).groupBy(F.col("run").alias("word")).agg(F.count(F.lit(1)).alias("n"))
     return words.where(F.col("n") >= least_count)
 
 
@@ -118,7 +126,7 @@ def index_rows(word: str, counts: list[int]) -> Iterator[tuple[bool, int, str]]:
     """(is a pivot, key, last of the prefix) for a word's pivots and prefix bigrams."""
     grams = prefix(word, counts)
     count, last, end = grams[-1]
-    order = f"{count:020d}{last}{end:010d}"
+    order = f"{count:010x}{last}{end:08x}"
     for place in pivots(grams):
         for length in range(len(word) - EDITS, len(word) + EDITS + 1):
             yield True, key(length, "<", word[: place + GRAM]), order
@@ -168,8 +176,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def forms(words: DataFrame, pairs: DataFrame) -> DataFrame:
     """word, n, n_near, form, form_n of every word."""
-    directed = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n"))
-    directed = directed.unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("a_n").alias("near_n")))
+    # each pair is turned both ways after it is found, so the search runs once
+    both = [F.struct(F.col(x).alias("word"), F.col(y).alias("near"), F.col(f"{y}_n").alias("near_n")) for x, y in ("ab", "ba")]
+    directed = pairs.select(F.inline(F.array(*both)))
     best = directed.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near"))).alias("best"))
     known = words.join(best, "word", "left")
     n = -F.col("best.less")
