@@ -9,8 +9,8 @@ different texts, is a span of kind ``term`` in every document that holds an enti
 of the kind. ``sanitised`` generalises entities to their kind and removes terms.
 
 All of it is built-in functions. Counts cover all documents; each task sums its
-terms before the shuffle. Copies count once towards the support, because it
-counts distinct text hashes.
+terms before the shuffle. Copies count once towards the support, which is the exact
+number of distinct text hashes. Documents are searched for entities once.
 
 Defined results: a null or empty text has no span; repeated rows give the same
 spans each; an empty table gives no row. Positions are code points, ends exclusive.
@@ -35,7 +35,7 @@ BASE = KINDS[:4]
 
 #: Share of a kind's information from which a term discloses it.
 DISCLOSE = 0.8
-#: Different texts (counted by hash, 64 at most told apart) in which a term must occur with the kind.
+#: Different texts (told by hash) in which a term must occur with the kind.
 SUPPORT = 5
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -135,28 +135,31 @@ def _flags(spans: Column) -> list[Column]:
     return [(_count(spans, k) > 0).cast("int").alias(f"has_{kind}") for k, kind in enumerate(BASE)]
 
 
-def disclosing_terms(docs: DataFrame, disclose: float = DISCLOSE, support: int = SUPPORT) -> DataFrame:
-    """kind (number), term, share: terms whose information about a kind reaches ``disclose`` of its own."""
-    has = [F.col(f"has_{k}") for k in BASE]
-    found = _search(docs).select("th", *_flags(F.col("base")), terms(F.col("text")).alias("terms"))
-    # one explode for all: the empty word stands for the document itself and counts it
-    rows = found.select("th", *has, F.explode(F.concat(F.array(F.lit("")), F.col("terms"))).alias("term"))
-    bucket = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("th").bitwiseAND(F.lit(63)).cast("int"))
-    sums = [F.sum(f"has_{k}").alias(f"n_{k}") for k in BASE]
-    texts = [F.bit_or(F.when(F.col(f"has_{k}") == 1, bucket).otherwise(F.lit(0).cast("long"))).alias(f"texts_{k}") for k in BASE]
-    counted = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"), *sums, *texts)
-    kept = [(F.col("term") == "")] + [F.bit_count(f"texts_{k}") >= support for k in BASE]
-    condition = kept[0]
-    for k in kept[1:]:
-        condition = condition | k
-    counted = materialized(counted.where(condition), "pii-terms")
-    total = counted.where(F.col("term") == "").select(F.col("n").alias("all_n"), *[F.col(f"n_{k}").alias(f"all_{k}") for k in BASE])
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(f"n_{k}").alias("both"), F.bit_count(f"texts_{k}").alias("texts"), F.col(f"all_{k}").alias("kind_n")) for i, k in enumerate(BASE)]))
+def _found(docs: DataFrame) -> DataFrame:
+    """doc_id, th, base, and the text of documents with an entity: of others nothing but the counts is needed again."""
+    return materialized(_search(docs).select("doc_id", "th", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii-base")
+
+
+def disclosing_terms(docs: DataFrame, disclose: float = DISCLOSE, support: int = SUPPORT, found: DataFrame | None = None) -> DataFrame:
+    """kind (number), term, share: terms whose information about a kind reaches ``disclose`` of its own.
+
+    Different texts are counted exactly, over (term, text) pairs of the documents that hold an
+    entity; how often a term occurs at all is summed in each task over all documents.
+    """
+    found = _found(docs) if found is None else found
+    total = found.select(*_flags(F.col("base"))).agg(F.count(F.lit(1)).alias("all_n"), *[F.sum(f"has_{k}").alias(f"all_{k}") for k in BASE])
+    holding = found.where(F.size("base") > 0).select("th", *_flags(F.col("base")), F.explode(terms(F.col("text"))).alias("term"))
+    by_text = holding.groupBy("term", "th").agg(*[F.sum(f"has_{k}").alias(f"n_{k}") for k in BASE])
+    texts = [F.count_if(F.col(f"n_{k}") > 0).alias(f"texts_{k}") for k in BASE]
+    counted = by_text.groupBy("term").agg(*[F.sum(f"n_{k}").alias(f"n_{k}") for k in BASE], *texts)
+    counted = counted.where(F.greatest(*[F.col(f"texts_{k}") for k in BASE]) >= support)
+    every = docs.select(F.explode(terms(F.coalesce(F.col("text"), F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(f"n_{k}").alias("both"), F.col(f"texts_{k}").alias("texts"), F.col(f"all_{k}").alias("kind_n")) for i, k in enumerate(BASE)]))
     # one row of totals
-    pairs = counted.where(F.col("term") != "").join(F.broadcast(total)).select("term", "n", "all_n", each.alias("x"))
+    pairs = every.join(counted, "term").join(F.broadcast(total)).select("term", "n", "all_n", each.alias("x"))
     information = F.log2(F.col("all_n") / F.col("x.kind_n"))
     mutual = F.log2(F.col("x.both") * F.col("all_n") / (F.col("n") * F.col("x.kind_n")))
-    pairs = pairs.where((F.col("x.texts") >= support) & (information > 0))
+    pairs = pairs.where(F.col("x.texts") >= support).where(information > 0)
     return pairs.where(mutual >= disclose * information).select(F.col("x.kind").alias("kind"), "term", (mutual / information).alias("share"))
 
 
@@ -174,11 +177,8 @@ def sanitised(text: Column, spans: Column) -> Column:
 
 def personal_data(docs: DataFrame, disclose: float = DISCLOSE, support: int = SUPPORT) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, and the sanitised text where it differs."""
-    risky = materialized(disclosing_terms(docs, disclose, support), "pii-disclosing")
-    # of documents without an entity nothing but the counts is needed again
-    found = materialized(
-        _search(docs).select("doc_id", "th", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii-base"
-    )
+    found = _found(docs)
+    risky = materialized(disclosing_terms(docs, disclose, support, found), "pii-disclosing")
     holding = found.where(F.size("base") > 0)
     # entities of a kind in a document, and the disclosing terms of that kind it holds
     kinds = F.array_distinct(F.transform("base", lambda s: s["kind"]))

@@ -49,7 +49,9 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.personal_data(table(spark, folder, "documents")).drop("sanitised")
+    rows = pii.personal_data(table(spark, folder, "documents"))
+    # the text as sanitised, where that changed it
+    return rows.withColumn("sanitised_sha256", F.sha2(F.col("sanitised").cast("binary"), 256)).drop("sanitised")
 
 
 def op8_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import math
 import random
 import re
 import time
@@ -394,6 +395,34 @@ def test_terms_that_give_an_entity_away(spark, docs):
     assert got[150]["spans"] == "" and got[150]["sanitised"] is None
 
 
+def test_disclosing_terms_equal_a_plain_count(spark, docs):
+    """Terms in exactly the least number of different texts are found, copies count once towards it."""
+    rng = random.Random(9)
+    entities = {0: "a@b.example", 1: "10.0.0.1", 3: "+1 (234) 555-6789"}
+    texts = []
+    for i in range(400):
+        kind = rng.choice([None, None, 0, 1, 3])
+        words = rng.choices([f"w{chr(97 + j)}{chr(97 + k)}" for j in range(12) for k in range(12)], k=6)
+        texts.append((" ".join(words) + (f" {entities[kind]} " if kind is not None else " "), kind))
+    texts += [(f"rare {'x' * (i % n + 1)}y {entities[0]} ", 0) for n in (4, 5) for i in range(9)]
+    texts += [(f"{t} {n * 'z'}q", k) for n, (t, k) in enumerate(texts[:40])]
+    want = {}
+    for kind in entities:
+        holding = [t for t, k in texts if k == kind]
+        own = math.log2(len(texts) / len(holding))
+        for term in {w for t in holding for w in re.findall(r"(?<![\w@.+-])[a-z]{2,}(?![\w@+-]|\.\w)", t)}:
+            def holds(t):
+                return term in re.findall(r"(?<![\w@.+-])[a-z]{2,}(?![\w@+-]|\.\w)", t)
+
+            both = [t for t in holding if holds(t)]
+            n = sum(holds(t) for t, _ in texts)
+            if len(set(both)) >= pii.SUPPORT and math.log2(len(both) * len(texts) / (n * len(holding))) >= pii.DISCLOSE * own:
+                want[kind, term] = len(set(both))
+    assert pii.SUPPORT in want.values()
+    df = docs([(i, t) for i, (t, _) in enumerate(texts)])
+    assert {(r["kind"], r["term"]) for r in pii.disclosing_terms(df).collect()} == set(want)
+
+
 def test_personal_data_runs_no_python(spark):
     plan = pii.personal_data(sample_docs(spark))._jdf.queryExecution().executedPlan().toString()
     plan += fingerprints.edited_fingerprints(sample_docs(spark))._jdf.queryExecution().executedPlan().toString()
