@@ -174,7 +174,9 @@ class VersionedTable:
     def _write(self, rows: DataFrame, token: str) -> dict[str, str]:
         """Write rows by place and return the sub-folder of each place. Large places are split into several files."""
         placed = rows.withColumn(PLACE, self.place)
-        placed.hint("rebalance", F.col(PLACE)).write.mode("append").partitionBy(PLACE).parquet(f"{self.path}/data/{token}")
+        # nobody reads the folder before the manifest names it, so tasks may put their files in place themselves
+        writer = placed.hint("rebalance", F.col(PLACE)).write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.partitionBy(PLACE).parquet(f"{self.path}/data/{token}")
         plain = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
         return {plain(n.split("=", 1)[1]): n for n in self._names(f"data/{token}") if n.startswith(f"{PLACE}=")}
 

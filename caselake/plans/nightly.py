@@ -24,7 +24,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ from caselake.sources.tables import with_comments
 from caselake.streaming.landing import BATCH
 
 FILE_DAY = "_file_day"
-SOURCES_AT_ONCE = 4
+SOURCES_AT_ONCE = len(SOURCES)
 STAMP = "_bronze_loaded_at"
 DELIVERY = ["_source_file", "_ingested_at"]
 PERSON = ["full_name", "gender", "date_of_birth"]
@@ -71,6 +71,7 @@ class Nightly:
         self.registry = registry or load_registry()
         self.buckets = buckets
         self.opened = uuid.uuid4().hex[:12]
+        self._listed: dict[tuple[str, str], tuple[int, DataFrame]] = {}
 
     def table(self, layer: str, name: str) -> VersionedTable:
         place: Column
@@ -85,7 +86,12 @@ class Nightly:
         return VersionedTable(self.spark, f"{self.root}/{layer}/{name}", place)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.table(layer, name).read()
+        """The newest version; its folders are listed once, whoever reads it."""
+        table = self.table(layer, name)
+        newest = max(table.versions(), default=0)
+        if self._listed.get((layer, name), (0,))[0] != newest or not newest:
+            self._listed[layer, name] = newest, table.read(newest or None)
+        return self._listed[layer, name][1]
 
     def run(self, landing: Callable[[str], DataFrame], as_of: dt.date, loaded_at: dt.datetime) -> None:
         """Load all landing rows no earlier run has taken. ``loaded_at`` must grow from run to run."""
@@ -95,15 +101,13 @@ class Nightly:
             self.load_bronze(source, landing(source), loaded_at)
             self.load_quality(source, as_of, loaded_at)
 
-        with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:  # the sources are independent Spark jobs
-            list(pool.map(load, SOURCES))
+        _side_by_side(*[partial(load, s) for s in SOURCES], at_once=SOURCES_AT_ONCE)  # the sources are independent Spark jobs
         # rows that are new lie in files the last run has not seen; the mark tells them from rows rewritten with them
         fresh = {s: newer_than(self.table("qa", s).read_new(done["loads"].get(s, [])), STAMP, done["mark"]) for s in SOURCES}
-        if all(rows.isEmpty() for rows in fresh.values()):
+        if all(_side_by_side(*[rows.isEmpty for rows in fresh.values()])):
             return
         cases = self._keep("touched_cases", self.touched_cases(fresh))
-        changed = self.load_dims(fresh, cases)
-        names = self.load_persons(fresh)
+        changed, names = _side_by_side(lambda: self.load_dims(fresh, cases), lambda: self.load_persons(fresh))
         self.load_facts(fresh, cases, changed, names)
         self.build_marts(as_of)
         record = {"mark": loaded_at.isoformat(), "loads": {s: self.table("qa", s).loads() for s in SOURCES}}
@@ -179,13 +183,19 @@ class Nightly:
 
     def load_dims(self, fresh: dict[str, DataFrame], cases: DataFrame) -> DataFrame:
         """Replace cases and officers; returns the officers whose versions changed."""
-        officers = fresh["assignments"].select("officer_id").distinct()
-        seen = touched(self.read("qa", "assignments"), officers, "officer_id")
-        versions = self._keep("officer_versions", dims.dim_officer(seen))
-        changed = self._learn("changed_officers", self._changed(versions, officers))
-        self._replace("dim_officer", versions, officers)
-        self._replace("dim_case", dims.dim_case(touched(self.read("qa", "cases"), cases, "case_pid")), cases)
-        return changed
+
+        def load_officers() -> DataFrame:
+            officers = fresh["assignments"].select("officer_id").distinct()
+            seen = touched(self.read("qa", "assignments"), officers, "officer_id")
+            versions = self._keep("officer_versions", dims.dim_officer(seen))
+            changed = self._learn("changed_officers", self._changed(versions, officers))
+            self._replace("dim_officer", versions, officers)
+            return changed
+
+        def load_cases() -> None:
+            self._replace("dim_case", dims.dim_case(touched(self.read("qa", "cases"), cases, "case_pid")), cases)
+
+        return _side_by_side(load_officers, load_cases)[0]
 
     def _changed(self, versions: DataFrame, officers: DataFrame) -> DataFrame:
         """Officers whose versions, and so the keys facts point to, are not those of the last load."""
@@ -239,22 +249,25 @@ class Nightly:
         entities = touched(qa["entities"], numbers, "case_no")
         officers = self.read("silver", "dim_officer")
 
-        charges = facts.fact_case_charge(of_case["charges"], of_case["cases"], entities, self.read("silver", "dim_person"))
-        self._replace("fact_case_charge", charges, cases)
-
-        # an event is recomputed when it, its officers or its case arrived, or an officer's versions changed
-        attended = touched(qa["event_officers"], changed, "officer_id")
-        ids = [fresh["events"], fresh["event_officers"], of_case["events"], attended]
-        events = self._keep("touched_events", reduce(DataFrame.union, [d.select("court_event_id") for d in ids]).distinct())
-        event_rows = facts.fact_event_officer(
-            touched(qa["events"], events, "court_event_id"), touched(qa["event_officers"], events, "court_event_id"), qa["cases"], officers
-        )
-        self._replace("fact_event_officer", event_rows, events)
-
-        counted = touched(self.table("silver", "fact_case_charge").read_keys(cases), cases, "case_pid")
-        profile = facts.case_profile(of_case["cases"], of_case["events"], entities, counted)
-        history = facts.assignment_history(of_case["assignments"])
-        self._replace("fact_case_officer", facts.fact_case_officer(history, profile, officers), cases)
+        def load_events() -> None:
+            # an event is recomputed when it, its officers or its case arrived, or an officer's versions changed
+            attended = touched(qa["event_officers"], changed, "officer_id")
+            ids = [fresh["events"], fresh["event_officers"], of_case["events"], attended]
+            events = self._keep("touched_events", reduce(DataFrame.union, [d.select("court_event_id") for d in ids]).distinct())
+            event_rows = facts.fact_event_officer(
+                touched(qa["events"], events, "court_event_id"), touched(qa["event_officers"], events, "court_event_id"), qa["cases"], officers
+            )
+            self._replace("fact_event_officer", event_rows, events)
+
+        def load_charges_then_officers() -> None:
+            charges = facts.fact_case_charge(of_case["charges"], of_case["cases"], entities, self.read("silver", "dim_person"))
+            self._replace("fact_case_charge", charges, cases)
+            counted = touched(self.table("silver", "fact_case_charge").read_keys(cases), cases, "case_pid")
+            profile = facts.case_profile(of_case["cases"], of_case["events"], entities, counted)
+            history = facts.assignment_history(of_case["assignments"])
+            self._replace("fact_case_officer", facts.fact_case_officer(history, profile, officers), cases)
+
+        _side_by_side(load_charges_then_officers, load_events)
 
     def build_marts(self, as_of: dt.date) -> None:
         t = {n: self.read("silver", n) for n in ("fact_case_charge", "fact_event_officer", "fact_case_officer", "dim_case", "dim_officer")}
@@ -264,8 +277,7 @@ class Nightly:
             "case_offence_distribution": marts.case_offence_distribution(charge, t["dim_case"], officer, event, t["dim_officer"]),
             "event_offence_hearing_days": marts.event_offence_hearing_days(event, charge, officer, t["dim_officer"]),
         }
-        for name, df in built.items():
-            self.table("gold", name).overwrite(with_comments(df, COMMENTS[name]))
+        _side_by_side(*[partial(self.table("gold", n).overwrite, with_comments(df, COMMENTS[n])) for n, df in built.items()])
 
     # --- writing
 
@@ -316,5 +328,11 @@ def touched_null_safe(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFr
     return rows.join(wanted, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in on]), "left_semi")
 
 
+def _side_by_side(*steps: Callable[[], object], at_once: int | None = None) -> list:
+    """Results of independent steps whose jobs share the cluster; a step that fails lets the others finish first."""
+    with ThreadPoolExecutor(at_once or len(steps)) as pool:
+        return [held.result() for held in [pool.submit(s) for s in steps]]
+
+
 def _literal(stamp: dt.datetime):
     return F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -7,13 +7,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Results depend on the time zone. The skew settings keep hot keys from stalling a join. The JVM does
-# not compile methods over 8000 bytes, so larger generated stages are better split into operators.
+# not compile methods over 8000 bytes, so larger generated stages are better split into operators. Versioned
+# tables have a folder per place: a few dozen are listed by the driver, more by 32 tasks and not one each.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "128",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
 _LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}

@@ -7,7 +7,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from caselake import queries
 from caselake.operators import checks
+from caselake.plans import pipeline
 from caselake.plans.nightly import Nightly
 from caselake.plans.pipeline import CaseLake
 from caselake.sources.fixtures import Landing
@@ -102,3 +104,24 @@ def test_history_intervals_do_not_overlap(lakes):
 def test_comments_are_written(lakes):
     assert lakes[0].read("silver", "fact_case_charge").schema["charge_status"].metadata["comment"]
     assert lakes[0].read("gold", "case_officer_workload").schema["case_count"].metadata["comment"]
+
+
+def test_registered_tables_read_the_lake_without_a_rebuild(spark, folder, lakes, monkeypatch):
+    """The columns of the rebuild come from its plan: no shared table is written for them."""
+    lake, _ = lakes
+    c = queries.lake(spark, folder)
+    monkeypatch.setitem(queries._LAKES, c.namespace, lake)
+    monkeypatch.setattr(pipeline, "_WRITTEN", {})
+    for table in TABLES:
+        found = queries.QUERIES[f"nightly_{table}"](spark, folder)
+        assert found.columns == [n for n in lake.read("silver", table).columns if n not in queries.STAMPS]
+    assert not pipeline._WRITTEN
+
+
+def test_a_version_is_listed_once(spark, lakes, tmp_path):
+    lake = Nightly(spark, str(tmp_path))
+    lake.table("gold", "t").overwrite(spark.range(2))
+    first = lake.read("gold", "t")
+    assert lake.read("gold", "t") is first
+    lake.table("gold", "t").append(spark.range(3))
+    assert first.count() == 2 and lake.read("gold", "t").count() == 5
