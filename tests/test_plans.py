@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselake.plans import dims, facts, reports, serve
+from caselake.plans.pipeline import CaseLake
+from caselake.sources.fixtures import Landing
 from tests.conftest import as_rows
 
 DAY = dt.datetime(2024, 1, 1)
@@ -211,3 +213,11 @@ def test_hot_case_keeps_results_whole(spark):
     fact = charge_fact(spark, [(str(i), "PEND") for i in range(1, 102)], hot)
     got = {r.case_pid: (r.n, r.s) for r in fact.groupBy("case_pid").agg(F.count("*").alias("n"), F.max("case_status").alias("s")).collect()}
     assert got["1"] == (300, "DISP") and sum(n for n, _ in got.values()) == 900 and got["2"][1] == "PEND"
+
+
+def test_shared_tables_are_written_once_and_small(spark, folder):
+    lake = CaseLake(spark, Landing(spark, folder), dt.date(2026, 1, 1), namespace="written small")
+    files = lake.table("dim_case").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert lake.table("dim_case").inputFiles() == files
+    assert as_rows(lake.table("dim_case")) == as_rows(lake.build("dim_case"))
