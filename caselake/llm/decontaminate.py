@@ -29,8 +29,8 @@ Q = 12
 EDITS = 0.05
 #: Characters of benchmark text in one broadcast index.
 BLOCK_CHARS = 4_000_000
-#: Characters of documents hashed at once.
-SLICE_CHARS = 2_000_000
+#: Characters of documents hashed at once: a slice takes some 60 bytes a character while it is hashed.
+SLICE_CHARS = 250_000
 #: Common q-grams expanded at once.
 HITS = 1_000_000
 FILTER_BITS = 22

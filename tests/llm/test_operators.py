@@ -582,3 +582,13 @@ def test_literals_inside_base_spans_are_not_told_again():
         base = [(s, e) for s, k, e in spans if k < 3]
         want = {(s, e) for s, e in secret_scan.assigned_literals(text) if not any(a <= s and e <= b for a, b in base)}
         assert {(s, e) for s, k, e in spans if k == 3} == want
+
+
+def test_decontamination_slices_are_small():
+    """A slice of documents is hashed with dozens of bytes a character; items are found in every slice."""
+    import pyarrow as pa
+
+    texts = ["some plain words of a document " * 1000] * 40
+    batch = pa.RecordBatch.from_pydict({"text_key": list(range(40)), "doc_id": list(range(40)), "text": texts})
+    slices = [held for _, held in decontaminate._slices(batch)]
+    assert sum(len(s) for s in slices) == 40 and max(sum(map(len, s)) for s in slices) < 300_000

@@ -108,3 +108,20 @@ def test_decontamination_by_row(spark):
     docs = spark.createDataFrame([(i, t, "s") for i, t in given], "doc_id long, text string, source string").repartition(3)
     kept = [tuple(r)[:2] for r in dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, SF).collect()]
     assert sorted(kept, key=str) == sorted([given[1], given[3], given[4], given[5]], key=str)
+
+
+def test_python_workers_get_small_batches_and_the_session_its_own_setting_back(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def look(spark, docs, sf_dir):
+        seen.append(int(spark.conf.get(key)))
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("look", look)])
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7777")
+    try:
+        corpus_pipeline.run(spark, SF)
+        assert seen == [2000] and spark.conf.get(key) == "7777"
+    finally:
+        spark.conf.set(key, before)
