@@ -180,6 +180,28 @@ def test_report_rows_issues_and_gate(spark):
     assert reports.report_totals(fields, issues, reports.entity_rows(fields), failures).first().asDict() == {"reports": 2, "failures": 1, "entity_rows": 3, "charges_with_issues": 2, "errors": 5, "warnings": 2}
 
 
+def test_report_rules_are_computed_once(spark):
+    """No interpreted filter inside the array, no second computation of it to check its size, no pattern shared for every row."""
+    fields = reports.report_fields(spark.createDataFrame([("x", REPORT)], "doc_id string, text string"))
+    issues = reports.report_issues(fields.withColumn("charge", F.concat("charge", F.lit("-"))))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in issues and "size(array(" not in issues
+    names = "charge string, case string, accused_name string, accused_age int, accused_gender string, offence_group string, victim_name string, victim_age int, victim_gender string"
+    rows = [("DAC-000001-2023", "SC-000123-2023", " \u3000\t", 200, "M", "Hurt", None, None, None), (None, None, None, None, None, None, "\x85", None, " ")]
+    got = reports.report_issues(spark.createDataFrame(rows, names)).collect()
+    assert sorted(r.field for r in got if r.charge) == ["accused_age", "accused_name"]
+    assert sorted(r.field for r in got if not r.charge) == ["accused_age", "accused_gender", "accused_name", "case", "charge", "charge", "offence_group", "victim_age", "victim_gender", "victim_gender", "victim_name"]
+
+
+def test_report_fields_of_odd_texts(spark):
+    """The search for the victim's block in front of its pattern changes nothing: no text, its words without the heading, an empty statement."""
+    texts = [("a", None), ("b", "Victim Particulars\n* **Name:** x"), ("c", REPORT.replace("Statement of Offence", "Statement")), ("d", REPORT.upper())]
+    got = {r.charge: r for r in reports.report_fields(spark.createDataFrame(texts, "doc_id string, text string")).collect()}
+    assert [v for k, v in got["a"].asDict().items() if k != "charge"] == [None] * 12
+    assert got["b"].accused_name == "x" and got["b"].victim_name is None
+    assert got["c"].offence_group == "Vice Activities" and got["c"].victim_gender == "M"
+    assert got["d"].victim_name is None
+
+
 @pytest.mark.parametrize(
     "statute,section,group",
     [("Road Traffic Act and Films Act", "1", "Traffic Offences"), ("PENAL CODE 1871", "377BB(7)", "Voyeurism/Sexual Exposure"), ("Penal Code", "304A", "Hurt"), ("Penal Code", "999", None), ("Other", "379", None), ("Films Act", "1", "Vice Activities"), (None, "379", None)],
