@@ -19,17 +19,33 @@ SETTINGS = {
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
+# What a task holds follows its share of the rows, so the share is bounded and the number of tasks grows with the
+# input: scans are cut, shuffles start with partitions enough (more would make every writer buffer and sort its rows)
+# and are merged up to the size of one share. A session that cuts finer keeps its own values.
+AT_MOST = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+AT_LEAST = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": 200}
+
 _LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``SETTINGS`` to a running session (only where they differ)."""
+    """Apply ``SETTINGS`` to a running session (only where they differ) and hold it to the bounds on a task's share."""
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    for key, value in AT_MOST.items():
+        if _bytes(spark, spark.conf.get(key)) > _bytes(spark, value):
+            spark.conf.set(key, value)
+    for key, value in AT_LEAST.items():
+        if int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")) < value:
+            spark.conf.set(key, str(value))
     return spark
 
 
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "caselake") -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     builder = (

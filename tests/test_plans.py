@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caselake.plans import dims, facts, reports, serve
 from caselake.plans.pipeline import CaseLake
+from caselake.session import configure
 from caselake.sources.fixtures import Landing
 from tests.conftest import as_rows
 
@@ -243,3 +244,16 @@ def test_shared_tables_are_written_once_and_small(spark, folder):
     assert files and all(f.endswith(".zstd.parquet") for f in files)
     assert lake.table("dim_case").inputFiles() == files
     assert as_rows(lake.table("dim_case")) == as_rows(lake.build("dim_case"))
+
+
+def test_a_tasks_share_is_bounded(spark):
+    """Scans are cut and shuffles dealt finely enough; a session that cuts finer keeps its values."""
+    share, first = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    coarse, fine = spark.newSession(), spark.newSession()
+    for session, size, parts in ((coarse, "128m", "12"), (fine, "1m", "500")):
+        session.conf.set(share, size)
+        session.conf.set("spark.sql.shuffle.partitions", parts)
+        configure(session)
+    assert coarse.conf.get(share) == "16m" and fine.conf.get(share) == "1m"
+    assert coarse.conf.get(first) == "200" and fine.conf.get(first, None) is None
+    assert coarse.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
