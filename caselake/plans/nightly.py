@@ -23,7 +23,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +40,7 @@ from caselake.operators.watermark import newer_than
 from caselake.plans import dims, facts, marts
 from caselake.plans.comments import COMMENTS
 from caselake.plans.pipeline import SOURCES
-from caselake.session import configure
+from caselake.session import configure, side_by_side
 from caselake.sources.registry import SourceSpec, load_registry
 from caselake.sources.tables import with_comments
 from caselake.streaming.landing import BATCH
@@ -101,13 +100,13 @@ class Nightly:
             self.load_bronze(source, landing(source), loaded_at)
             self.load_quality(source, as_of, loaded_at)
 
-        _side_by_side(*[partial(load, s) for s in SOURCES], at_once=SOURCES_AT_ONCE)  # the sources are independent Spark jobs
+        side_by_side(*[partial(load, s) for s in SOURCES], at_once=SOURCES_AT_ONCE)  # the sources are independent Spark jobs
         # rows that are new lie in files the last run has not seen; the mark tells them from rows rewritten with them
         fresh = {s: newer_than(self.table("qa", s).read_new(done["loads"].get(s, [])), STAMP, done["mark"]) for s in SOURCES}
-        if all(_side_by_side(*[rows.isEmpty for rows in fresh.values()])):
+        if all(side_by_side(*[rows.isEmpty for rows in fresh.values()])):
             return
         cases = self._keep("touched_cases", self.touched_cases(fresh))
-        changed, names = _side_by_side(lambda: self.load_dims(fresh, cases), lambda: self.load_persons(fresh))
+        changed, names = side_by_side(lambda: self.load_dims(fresh, cases), lambda: self.load_persons(fresh))
         self.load_facts(fresh, cases, changed, names)
         self.build_marts(as_of)
         record = {"mark": loaded_at.isoformat(), "loads": {s: self.table("qa", s).loads() for s in SOURCES}}
@@ -195,7 +194,7 @@ class Nightly:
         def load_cases() -> None:
             self._replace("dim_case", dims.dim_case(touched(self.read("qa", "cases"), cases, "case_pid")), cases)
 
-        return _side_by_side(load_officers, load_cases)[0]
+        return side_by_side(load_officers, load_cases)[0]
 
     def _changed(self, versions: DataFrame, officers: DataFrame) -> DataFrame:
         """Officers whose versions, and so the keys facts point to, are not those of the last load."""
@@ -267,7 +266,7 @@ class Nightly:
             history = facts.assignment_history(of_case["assignments"])
             self._replace("fact_case_officer", facts.fact_case_officer(history, profile, officers), cases)
 
-        _side_by_side(load_charges_then_officers, load_events)
+        side_by_side(load_charges_then_officers, load_events)
 
     def build_marts(self, as_of: dt.date) -> None:
         t = {n: self.read("silver", n) for n in ("fact_case_charge", "fact_event_officer", "fact_case_officer", "dim_case", "dim_officer")}
@@ -277,7 +276,7 @@ class Nightly:
             "case_offence_distribution": marts.case_offence_distribution(charge, t["dim_case"], officer, event, t["dim_officer"]),
             "event_offence_hearing_days": marts.event_offence_hearing_days(event, charge, officer, t["dim_officer"]),
         }
-        _side_by_side(*[partial(self.table("gold", n).overwrite, with_comments(df, COMMENTS[n])) for n, df in built.items()])
+        side_by_side(*[partial(self.table("gold", n).overwrite, with_comments(df, COMMENTS[n])) for n, df in built.items()])
 
     # --- writing
 
@@ -328,11 +327,5 @@ def touched_null_safe(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFr
     return rows.join(wanted, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in on]), "left_semi")
 
 
-def _side_by_side(*steps: Callable[[], object], at_once: int | None = None) -> list:
-    """Results of independent steps whose jobs share the cluster; a step that fails lets the others finish first."""
-    with ThreadPoolExecutor(at_once or len(steps)) as pool:
-        return [held.result() for held in [pool.submit(s) for s in steps]]
-
-
 def _literal(stamp: dt.datetime):
     return F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")

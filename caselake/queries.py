@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +25,9 @@ from caselake.operators.quality import CHARGE_TYPES, KEYS, to_quality, valid
 from caselake.operators.watermark import high_water_mark
 from caselake.plans import dims, facts, marts, reports, serve
 from caselake.plans.comments import COMMENTS
-from caselake.plans.nightly import Nightly
+from caselake.plans.nightly import SOURCES_AT_ONCE, Nightly
 from caselake.plans.pipeline import SOURCES, CaseLake
-from caselake.session import run_dir
+from caselake.session import run_dir, side_by_side
 from caselake.sources import tables
 from caselake.sources.documents import sample
 from caselake.sources.files import file_date, rescue
@@ -465,26 +465,31 @@ def landing_lineage(c: CaseLake) -> DataFrame:
 def land_all_sources(c: CaseLake) -> DataFrame:
     """Every source dropped as CSV and landed side by side: rows, drops and rescued rows of each."""
     root = _fresh(c, "sources")
-    for spec in c.registry.values():
-        stream.write_drops(c.landing(spec.name), spec, root)
+    drops = [partial(stream.write_drops, c.landing(spec.name), spec, root) for spec in c.registry.values()]
+    side_by_side(*drops, at_once=SOURCES_AT_ONCE)
     stream.land_all(c.spark, c.registry.values(), root, f"{root}-landed", f"{root}-state")
-    drop = F.regexp_extract("_source_file", "drop=([^/]+)/", 1).alias("drop")
-    parts = [stream.read_table(c.spark, f"{root}-landed/{s}").select(F.lit(s).alias("source"), drop, "_rescued_data") for s in c.registry]
-    counts = reduce(DataFrame.unionByName, parts).groupBy("source")
-    return counts.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("drop").alias("drops"), F.count("_rescued_data").alias("rescued"))
+    # counted per file first: a drop is read from a path once a file, not once a row
+    rows, rescued = F.count(F.lit(1)).alias("rows"), F.count("_rescued_data").alias("rescued")
+    parts = [stream.read_table(c.spark, f"{root}-landed/{s}").select(F.lit(s).alias("source"), "_source_file", "_rescued_data") for s in c.registry]
+    files = reduce(DataFrame.unionByName, parts).groupBy("source", "_source_file").agg(rows, rescued)
+    drop = F.regexp_extract("_source_file", "drop=([^/]+)/", 1)
+    return files.groupBy("source").agg(F.sum("rows").alias("rows"), F.countDistinct(drop).alias("drops"), F.sum("rescued").alias("rescued"))
 
 
 def _drifting(c: CaseLake, first: list, later: list, **options) -> DataFrame:
     """Charges of even cases, then those of odd ones with other columns, landed in every format."""
     root, even = _fresh(c, "drift"), F.col("pid").cast("long") % 2 == 0
-    base, parts = c.registry["charges"], []
-    for fmt in FILE_FORMATS:
+    base = c.registry["charges"]
+
+    def landed(fmt: str) -> DataFrame:
         spec = replace(base, name=f"charges_{fmt}", subfolder=fmt, file_format=fmt)
         for name, rows, columns in (("first", c.landing("charges").where(even), first), ("later", c.landing("charges").where(~even), later)):
             writer = rows.select(*columns).write.options(header=True, emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
             writer.format(fmt).save(f"{root}/{fmt}/{name}")
             stream.land(c.spark, spec, root, f"{root}-landed/{fmt}", f"{root}-state", **options).awaitTermination()
-        parts.append(stream.read_table(c.spark, f"{root}-landed/{fmt}").withColumn("format", F.lit(fmt)))
+        return stream.read_table(c.spark, f"{root}-landed/{fmt}").withColumn("format", F.lit(fmt))
+
+    parts = side_by_side(*[partial(landed, fmt) for fmt in FILE_FORMATS])
     return reduce(lambda a, b: a.unionByName(b.select(*[F.col(f.name).cast(f.dataType) for f in a.schema])), parts)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,12 @@ def _bytes(spark: SparkSession, size: str) -> int:
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
 
 
+def side_by_side(*steps: Callable[[], object], at_once: int | None = None) -> list:
+    """Results of independent steps whose jobs share the cluster; a step that fails lets the others finish first."""
+    with ThreadPoolExecutor(at_once or len(steps)) as pool:
+        return [held.result() for held in [pool.submit(s) for s in steps]]
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "caselake") -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     builder = (

@@ -132,14 +132,15 @@ def read_groups(spark: SparkSession, spec: SourceSpec, files: list[str]) -> list
         groups = []
         for names, found in headers(spark, files).items():
             reader = spark.read.schema(text_schema(list(names))).option("header", "true").option("columnNameOfCorruptRecord", CORRUPT)
-            groups.append(Group(with_lineage(reader.csv(found), spec), _texts(names), found))
+            groups.append(Group(with_lineage(reader.csv(found), spec, files=found), _texts(names), found))
         return groups
     if spec.file_format == "json":
-        lines = with_lineage(spark.read.text(files).where("trim(value) <> ''"), spec)
-        record = F.from_json("value", "map<string,string>")
+        texts, record = spark.read.text(files).where("trim(value) <> ''"), F.from_json("value", "map<string,string>")
+        lines = with_lineage(texts, spec, files=files)
         rows = lines.select(record.alias("_record"), F.when(record.isNull(), F.col("value")).alias(CORRUPT), *LINEAGE)
         spellings: dict[str, list[str]] = {}
-        for r in rows.select(F.explode(F.map_keys("_record")).alias("name")).distinct().orderBy("name").collect():  # a row per column
+        shapes = texts.select(F.map_keys(record).alias("names")).distinct()  # records mostly name the same columns
+        for r in shapes.select(F.explode("names").alias("name")).distinct().orderBy("name").collect():  # a row per column
             spellings.setdefault(r["name"].lower(), []).append(r["name"])
         columns, extra = {}, []
         for i, found in enumerate(spellings.values()):

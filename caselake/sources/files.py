@@ -17,15 +17,23 @@ def file_date(path: str | Column, pattern: str, date_format: str = "yyyyMMddHHmm
     return F.try_to_timestamp(stamp, F.lit(date_format))
 
 
-def with_lineage(df: DataFrame, spec: SourceSpec, ingested_at: Column | None = None) -> DataFrame:
-    """Add file path, ingest time and file date."""
+def with_lineage(df: DataFrame, spec: SourceSpec, ingested_at: Column | None = None, files: list[str] | None = None) -> DataFrame:
+    """Add file path, ingest time and file date.
+
+    With the ``files`` given that ``df`` reads (a trigger's worth), a date is parsed once a file and
+    looked up by the rows; rows of any other path parse it themselves.
+    """
     path = F.col("_metadata.file_path")
-    return df.select(
-        "*",
-        path.alias("_source_file"),
-        (F.current_timestamp() if ingested_at is None else ingested_at).alias("_ingested_at"),
-        file_date(path, spec.date_pattern, spec.date_format).alias("_file_date"),
-    )
+    stamp = (F.current_timestamp() if ingested_at is None else ingested_at).alias("_ingested_at")
+    dated = file_date(path, spec.date_pattern, spec.date_format)
+    if not files:
+        return df.select("*", path.alias("_source_file"), stamp, dated.alias("_file_date"))
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in dict.fromkeys(files)])).alias("_listed"))
+    dates = listed.select("_listed", file_date("_listed", spec.date_pattern, spec.date_format).alias("_listed_date"))
+    rows = df.select("*", path.alias("_source_file"), stamp).join(F.broadcast(dates), F.col("_source_file") == F.col("_listed"), "left")
+    own = file_date("_source_file", spec.date_pattern, spec.date_format)
+    date = F.when(F.col("_listed").isNull(), own).otherwise(F.col("_listed_date"))
+    return rows.withColumn("_file_date", date).drop("_listed", "_listed_date")
 
 
 def rescue(df: DataFrame, types: dict[str, str], corrupt: str | None = None) -> DataFrame:

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caselake import queries
+from caselake.plans.pipeline import CaseLake
 from caselake.sources.evolution import SchemaLog, header_names
+from caselake.sources.files import with_lineage
 from caselake.sources.registry import FILE_FORMATS, load_registry
 from caselake.streaming import landing
 from tests.conftest import as_rows
@@ -109,3 +114,64 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     feed.drop("two", [("2", "Bo")], "id string, name string")
     got = feed.land()
     assert as_rows(got.select("id", "name", F.col(landing.BATCH).alias("zbatch"))) == [("1", "Ann", "0"), ("2", "Bo", "1")]
+
+
+@pytest.mark.parametrize("name", ["plain", "per%20cent and blank"])
+def test_dates_are_parsed_once_a_file(spark, tmp_path, name):
+    """The listed paths are those the rows carry, but for marks that Spark writes otherwise; every row gets its date either way."""
+    spec, folder = load_registry()["charges"], tmp_path / name
+    for stamp in ("20240102030405", "20240203040506", "nodate"):
+        (folder / f"drop=charges_{stamp}.csv").mkdir(parents=True)
+        (folder / f"drop=charges_{stamp}.csv" / "part.csv").write_text("pid\n1\n2\n")
+    rows = spark.read.schema("pid string").option("header", "true").option("recursiveFileLookup", "true").csv(str(folder))
+    spec = dataclasses.replace(spec, date_pattern=r"charges_(\d{14})\.csv")
+    paths = sorted(r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(folder)).select("path").collect())
+    own = with_lineage(rows, spec).drop("_ingested_at")
+    assert (paths == sorted(r["_source_file"] for r in own.select("_source_file").distinct().collect())) == (name == "plain")
+    for listed in (paths, paths[:1], [*paths, paths[0]]):
+        found = with_lineage(rows, spec, files=listed).drop("_ingested_at")
+        assert found.columns == own.columns and as_rows(found) == as_rows(own)
+    assert own.select("_file_date").distinct().count() == 3
+
+
+@pytest.fixture
+def together(monkeypatch):
+    """Makes steps wait until as many of them run at the same time; one after the other, they fail."""
+
+    def hold(name, count):
+        meet, real = threading.Barrier(count, timeout=60), getattr(landing, name)
+
+        def step(*args, **options):
+            if len(seen) < count:
+                seen.append(args)
+                meet.wait()
+            return real(*args, **options)
+
+        seen: list = []
+        monkeypatch.setattr(landing, name, step)
+
+    return hold
+
+
+def test_sources_are_dropped_side_by_side(spark, tmp_path, together):
+    def rows(source):
+        names = lake.registry[source].business_columns
+        full = [(*["a"] * len(names), d) for d in (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))]
+        return spark.createDataFrame(full, ", ".join(f"`{n}` string" for n in names) + ", _file_date timestamp")
+
+    lake = CaseLake(spark, rows, dt.date(2026, 1, 1))
+    together("write_drops", len(lake.registry))
+    got = queries.land_all_sources(lake)
+    assert as_rows(got) == sorted(("2", "0", "3", s) for s in lake.registry)
+
+
+def test_formats_are_landed_side_by_side(spark, together):
+    def rows(source):
+        names = lake.registry[source].business_columns
+        return spark.createDataFrame([(str(k), *["a"] * (len(names) - 1)) for k in range(4)], ", ".join(f"`{n}` string" for n in ("pid", *[n for n in names if n != "pid"])))
+
+    lake = CaseLake(spark, rows, dt.date(2026, 1, 1))
+    together("land", len(FILE_FORMATS))
+    got = queries.stream_landing_drift(lake).select("format", "pid", "plea")
+    pleas = {"0": "None", "1": "P1", "2": "None", "3": "P0"}
+    assert as_rows(got) == sorted((f, p, plea) for f in FILE_FORMATS for p, plea in pleas.items())
