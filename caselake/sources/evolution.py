@@ -157,7 +157,7 @@ def read_groups(spark: SparkSession, spec: SourceSpec, files: list[str]) -> list
             names.append(_free_name(f.name, {n.lower() for n in names}, i))
         rows = spark.read.schema(schema).parquet(*found)
         given = rows.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(schema, names)], "_metadata")
-        groups.append(Group(with_lineage(given, spec).drop("_metadata"), T.StructType([T.StructField(n, f.dataType) for f, n in zip(schema, names)]), found))
+        groups.append(Group(with_lineage(given, spec, files=found).drop("_metadata"), T.StructType([T.StructField(n, f.dataType) for f, n in zip(schema, names)]), found))
     return groups
 
 
