@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -257,3 +259,21 @@ def test_a_tasks_share_is_bounded(spark):
     assert coarse.conf.get(share) == "16m" and fine.conf.get(share) == "1m"
     assert coarse.conf.get(first) == "200" and fine.conf.get(first, None) is None
     assert coarse.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def shuffled_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {str(f) for d in folders for f in Path(str(d)).rglob("shuffle_*")}
+
+
+def test_shuffle_files_go_with_their_query(spark, folder):
+    """What a query shuffled does not stay while the next ones run, whoever still holds its frame, which can be read again."""
+    lake = CaseLake(spark, Landing(spark, folder), dt.date(2026, 1, 1), namespace="shuffle files")
+    held = serve.status_pivot(serve.offence_status_counts(lake.table("case_offence_distribution"))).orderBy("offence_type")
+    before = shuffled_files(spark)
+    first = held.collect()
+    until = time.monotonic() + 20  # files are removed beside the next work
+    while (left := shuffled_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert first and not left
+    assert held.collect() == first
