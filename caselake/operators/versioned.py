@@ -92,16 +92,32 @@ class VersionedTable:
         """Rows of the places in which the given keys (the columns of ``place``) belong."""
         return self.read(places=self._places_of(keys))
 
-    def read_new(self, before: Iterable[str]) -> DataFrame:
+    def read_new(self, before: Iterable[str], places: Iterable[str] | None = None) -> DataFrame:
         """Rows written by other loads than those in ``before`` (see ``loads``), with rows such loads rewrote."""
-        known, taken = self.manifest(), set(before)
-        return self._rows(known, sorted(f for f in self._folders(known) if f.split("/")[0] not in taken))
+        known = self.manifest()
+        new = self._new(known, before)
+        return self._rows(known, sorted(f for p in (new if places is None else places) for f in new.get(p, ())))
+
+    def places_new(self, before: Iterable[str]) -> set[str]:
+        """Places in which ``read_new`` finds rows; the manifest tells."""
+        return set(self._new(self.manifest(), before))
+
+    @staticmethod
+    def _new(known: Manifest, before: Iterable[str]) -> dict[str, list[str]]:
+        taken = set(before)
+        new = {p: [f for f in held if f.split("/")[0] not in taken] for p, held in known.places.items()}
+        return {p: held for p, held in new.items() if held}
 
     def loads(self) -> list[str]:
         """Names of the loads whose files the newest version holds."""
         known = self.manifest()
         return sorted({f.split("/")[0] for f in self._folders(known)}) if known else []
 
+    def depth(self) -> int:
+        """The most folders a place of the newest version consists of: appended loads lie side by side."""
+        known = self.manifest()
+        return max(map(len, known.places.values()), default=0) if known else 0
+
     @staticmethod
     def _folders(known: Manifest) -> set[str]:
         return {f for held in known.places.values() for f in held}
@@ -113,20 +129,24 @@ class VersionedTable:
 
     # --- writing
 
-    def append(self, rows: DataFrame, meta: dict | None = None) -> Manifest:
-        """Add rows; refuses a changed type. Columns that come later are NULL in earlier rows."""
+    def append(self, rows: DataFrame, meta: dict | None = None, dealt: bool = False) -> Manifest:
+        """Add rows; refuses a changed type. Columns that come later are NULL in earlier rows.
+
+        ``dealt`` says that the rows come from files that lie by the same places, so that a task
+        meets few of them: they are then written where they are read.
+        """
         known = self.manifest()
         if known is None:
-            return self.overwrite(rows, meta)
+            return self.overwrite(rows, meta, dealt)
         schema = self._widened(known.schema, rows.schema)
-        added = self._write(rows, token := self._token())
+        added = self._write(rows, token := self._token(), dealt)
         places = {p: [*known.places.get(p, []), *([f"{token}/{added[p]}"] if p in added else [])] for p in {*known.places, *added}}
         return self._commit(known.version + 1, schema, places, {**known.meta, **(meta or {})})
 
-    def overwrite(self, rows: DataFrame, meta: dict | None = None) -> Manifest:
+    def overwrite(self, rows: DataFrame, meta: dict | None = None, dealt: bool = False) -> Manifest:
         """Replace the whole table. ``rows`` may come from the table itself."""
         known = self.manifest()
-        written = self._write(rows, token := self._token())
+        written = self._write(rows, token := self._token(), dealt)
         places = {p: [f"{token}/{f}"] for p, f in written.items()}
         return self._commit(known.version + 1 if known else 1, rows.schema, places, {**(known.meta if known else {}), **(meta or {})})
 
@@ -171,11 +191,12 @@ class VersionedTable:
         newest = {f.name: f for f in new}
         return T.StructType([newest.get(f.name, f) for f in known] + [f for f in new if f.name not in have])
 
-    def _write(self, rows: DataFrame, token: str) -> dict[str, str]:
+    def _write(self, rows: DataFrame, token: str, dealt: bool = False) -> dict[str, str]:
         """Write rows by place and return the sub-folder of each place. Large places are split into several files."""
         placed = rows.withColumn(PLACE, self.place)
+        placed = placed if dealt else placed.hint("rebalance", F.col(PLACE))
         # nobody reads the folder before the manifest names it, so tasks may put their files in place themselves
-        writer = placed.hint("rebalance", F.col(PLACE)).write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer = placed.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         writer.partitionBy(PLACE).parquet(f"{self.path}/data/{token}")
         plain = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
         return {plain(n.split("=", 1)[1]): n for n in self._names(f"data/{token}") if n.startswith(f"{PLACE}=")}

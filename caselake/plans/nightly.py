@@ -2,7 +2,8 @@
 
 Each run finds the keys its new rows touch, recomputes those keys whole from the
 quality layer and replaces them in the star schema, so that a run of loads gives
-the tables a full rebuild would give. Marts are rebuilt.
+the tables a full rebuild would give. The first run touches every key and builds the
+star schema whole. Marts are rebuilt.
 
 All tables are versioned (``operators.versioned``): facts and dimensions lie in hash
 buckets of the key they are replaced by, so a load rewrites the buckets it touches, and
@@ -46,6 +47,8 @@ from caselake.sources.tables import with_comments
 from caselake.streaming.landing import BATCH
 
 FILE_DAY = "_file_day"
+# Loads a bucket of the index holds side by side before it is rewritten.
+LOADS_SIDE_BY_SIDE = 8
 SOURCES_AT_ONCE = len(SOURCES)
 STAMP = "_bronze_loaded_at"
 DELIVERY = ["_source_file", "_ingested_at"]
@@ -94,7 +97,7 @@ class Nightly:
 
     def run(self, landing: Callable[[str], DataFrame], as_of: dt.date, loaded_at: dt.datetime) -> None:
         """Load all landing rows no earlier run has taken. ``loaded_at`` must grow from run to run."""
-        done = self.last_run()
+        done, died = self.last_run(), bool(self._runs_open())
 
         def load(source: str) -> None:
             self.load_bronze(source, landing(source), loaded_at)
@@ -104,10 +107,14 @@ class Nightly:
         # rows that are new lie in files the last run has not seen; the mark tells them from rows rewritten with them
         fresh = {s: newer_than(self.table("qa", s).read_new(done["loads"].get(s, [])), STAMP, done["mark"]) for s in SOURCES}
         if all(side_by_side(*[rows.isEmpty for rows in fresh.values()])):
+            self._remove("_open")
             return
-        cases = self._keep("touched_cases", self.touched_cases(fresh))
-        changed, names = side_by_side(lambda: self.load_dims(fresh, cases), lambda: self.load_persons(fresh))
-        self.load_facts(fresh, cases, changed, names)
+        if done["loads"]:
+            cases = self._keep("touched_cases", self.touched_cases(fresh))
+            changed, names = side_by_side(lambda: self.load_dims(fresh, cases), lambda: self.load_persons(fresh, died))
+            self.load_facts(fresh, cases, changed, names)
+        else:
+            self.load_whole()
         self.build_marts(as_of)
         record = {"mark": loaded_at.isoformat(), "loads": {s: self.table("qa", s).loads() for s in SOURCES}}
         self.table("runs", "done").append(self.spark.createDataFrame([(loaded_at.isoformat(),)], "mark string"), record)
@@ -155,19 +162,34 @@ class Nightly:
     def load_quality(self, source: str, as_of: dt.date, loaded_at: dt.datetime) -> None:
         """Check the loads of bronze that are new and replace rows by key; of rows of one key the last ingested stays."""
         bronze, quality = self.table("bronze", source), self.table("qa", source)
-        loads = bronze.loads()
-        taken = set(quality.manifest().meta["taken"]) if quality.exists() else set()
-        if quality.exists() and taken.issuperset(loads):
+        loads, held = bronze.loads(), quality.manifest()
+        taken = set(held.meta["taken"]) if held else set()
+        if held and taken.issuperset(loads):
             return
-        checked = to_quality(bronze.read_new(taken).drop(FILE_DAY), source, as_of, loaded_at=_literal(loaded_at))
         # a run that died after bronze leaves its rows to the next one: a key may then come twice
-        rows = latest_by(checked, KEYS[source], ["_ingested_at"]).withColumn(FILE_DAY, F.to_date("_file_date"))
-        if quality.exists():
-            rows = self._keep(f"checked_{source}", rows)
-            # the file date is part of every key, so a key never leaves its day
-            known = self._keep(f"known_{source}", touched_null_safe(quality.read_keys(rows), rows, KEYS[source]))
-            rows = latest_by(rows.unionByName(known.select(*rows.columns)), KEYS[source], ["_ingested_at"])
-        quality.replace(rows, KEYS[source], meta={"taken": loads})
+        once = len(set(loads) - taken) < 2 and self._unique_in_bronze(source)
+
+        def rows(places: set[str]) -> DataFrame:
+            checked = to_quality(bronze.read_new(taken, places).drop(FILE_DAY), source, as_of, loaded_at=_literal(loaded_at))
+            latest = checked if once else latest_by(checked, KEYS[source], ["_ingested_at"])
+            return latest.withColumn(FILE_DAY, F.to_date("_file_date"))
+
+        # the file date is part of every key, so a key never leaves its day: only days both layers hold are compared
+        new = bronze.places_new(taken) if loads else set()
+        met = new & set(held.places if held else ())
+        if not met:
+            quality.append(rows(new), {"taken": loads}, dealt=once)
+            return
+        again = self._keep(f"checked_{source}", rows(met))
+        known = self._keep(f"known_{source}", touched_null_safe(quality.read(places=met), again, KEYS[source]))
+        again = latest_by(again.unionByName(known.select(*again.columns)), KEYS[source], ["_ingested_at"])
+        quality.replace(again.unionByName(rows(new - met)) if new - met else again, KEYS[source], meta={"taken": loads})
+
+    def _unique_in_bronze(self, source: str) -> bool:
+        """Whether a load of bronze, which holds a natural key once a file date, holds a key of the quality layer once."""
+        spec = self.registry[source]
+        kept = {c.source: c.target for c in spec.columns if c.spark_type == "string"}  # a cast may make one of two keys
+        return all(kept.get(k) in KEYS[source] for k in spec.natural_key)
 
     # --- keys a load touches
 
@@ -180,6 +202,21 @@ class Nightly:
 
     # --- star schema
 
+    def load_whole(self) -> None:
+        """Until a run has completed, every key is touched: the star schema is built from the whole quality layer."""
+        qa = {s: self.read("qa", s) for s in SOURCES}
+        of_case = {s: qa[s].where(F.col("case_pid").isNotNull()) for s in ("cases", "assignments", "charges", "events")}
+        named = reduce(DataFrame.unionByName, [mentions(qa[s], s) for s in ("cases", "entities")])
+        seen = qa["assignments"].where(F.col("officer_id").isNotNull())
+        side_by_side(
+            lambda: self._replace("dim_officer", dims.dim_officer(seen)),
+            lambda: self._replace("dim_case", dims.dim_case(of_case["cases"])),
+            lambda: self._replace("dim_person", dims.dim_person(qa["cases"], qa["entities"])),
+            lambda: self.table("index", "person_names").overwrite(named.where("is_valid_row").drop("is_valid_row")),
+        )
+        events, seats = (qa[s].where(F.col("court_event_id").isNotNull()) for s in ("events", "event_officers"))
+        side_by_side(lambda: self.load_assigned(of_case, qa["entities"]), lambda: self.load_events(events, seats))
+
     def load_dims(self, fresh: dict[str, DataFrame], cases: DataFrame) -> DataFrame:
         """Replace cases and officers; returns the officers whose versions changed."""
 
@@ -206,21 +243,29 @@ class Nightly:
         old = touched(known.read_keys(officers), officers, "officer_id").select(*columns)
         return new.exceptAll(old).union(old.exceptAll(new)).select("officer_id").distinct()
 
-    def load_persons(self, fresh: dict[str, DataFrame]) -> DataFrame:
-        """Bring the index of names and the person dimension up to date; returns the names whose persons changed."""
+    def load_persons(self, fresh: dict[str, DataFrame], died: bool) -> DataFrame:
+        """Bring the index of names and the person dimension up to date; returns the names whose persons changed.
+
+        Rows leave the index when a load met their key again, or when a run that ``died`` may
+        have put there what this one brings. Else the load is only added.
+        """
         index, persons = self.table("index", "person_names"), self.table("silver", "dim_person")
         now, before = [], []
         for s in ("cases", "entities"):
             now.append(mentions(fresh[s], s))
             known = self._learned(f"known_{s}")
-            if known is not None:  # rows a load met under the same key: what they said goes, what stands there now is said again
+            if known is not None and not known.isEmpty():  # rows a load met under the same key: what they said goes, what stands there now is said again
                 before.append(mentions(known, s).select("full_name", "row_key"))
                 now.append(mentions(touched_null_safe(self.table("qa", s).read_keys(known), known, KEYS[s]), s))
-        arrived = self._keep("mentions", reduce(DataFrame.unionByName, now).distinct())
-        stale = self._keep("stale_mentions", reduce(DataFrame.union, [arrived.select("full_name", "row_key"), *before]).distinct())
-        names = self._learn("names", stale.select("full_name").distinct())
-        rows = arrived.where("is_valid_row").drop("is_valid_row")
-        index.replace(rows, ["full_name", "row_key"], stale)
+        arrived, added = reduce(DataFrame.unionByName, now), not (before or died) and index.depth() < LOADS_SIDE_BY_SIDE
+        if added:
+            names = self._learn("names", arrived.select("full_name").distinct())
+            index.append(arrived.where("is_valid_row").drop("is_valid_row"))
+        else:
+            arrived = self._keep("mentions", arrived.distinct())
+            stale = self._keep("stale_mentions", reduce(DataFrame.union, [arrived.select("full_name", "row_key"), *before]).distinct())
+            names = self._learn("names", stale.select("full_name").distinct())
+            index.replace(arrived.where("is_valid_row").drop("is_valid_row"), ["full_name", "row_key"], stale)
         held = index.read_keys(names).join(names.select(F.col("full_name").alias("_name")), F.col("full_name").eqNullSafe(F.col("_name")), "left_semi")
         new = held.groupBy(*PERSON).agg(F.max("_file_date").alias("_file_date"), F.max(STAMP).alias(STAMP))
         new = self._keep("persons", new.select(surrogate_key(*PERSON).alias("person_skey"), *PERSON, "_file_date", STAMP))
@@ -246,27 +291,30 @@ class Nightly:
         of_case = {s: touched(qa[s], cases, "case_pid") for s in ("cases", "assignments", "charges", "events")}
         numbers = of_case["cases"].select("case_no").distinct()
         entities = touched(qa["entities"], numbers, "case_no")
-        officers = self.read("silver", "dim_officer")
+        # an event is recomputed when it, its officers or its case arrived, or an officer's versions changed
+        attended = touched(qa["event_officers"], changed, "officer_id")
+        ids = [fresh["events"], fresh["event_officers"], of_case["events"], attended]
 
         def load_events() -> None:
-            # an event is recomputed when it, its officers or its case arrived, or an officer's versions changed
-            attended = touched(qa["event_officers"], changed, "officer_id")
-            ids = [fresh["events"], fresh["event_officers"], of_case["events"], attended]
             events = self._keep("touched_events", reduce(DataFrame.union, [d.select("court_event_id") for d in ids]).distinct())
-            event_rows = facts.fact_event_officer(
-                touched(qa["events"], events, "court_event_id"), touched(qa["event_officers"], events, "court_event_id"), qa["cases"], officers
-            )
-            self._replace("fact_event_officer", event_rows, events)
+            self.load_events(touched(qa["events"], events, "court_event_id"), touched(qa["event_officers"], events, "court_event_id"), events)
+
+        side_by_side(lambda: self.load_assigned(of_case, entities, cases), load_events)
 
-        def load_charges_then_officers() -> None:
-            charges = facts.fact_case_charge(of_case["charges"], of_case["cases"], entities, self.read("silver", "dim_person"))
-            self._replace("fact_case_charge", charges, cases)
-            counted = touched(self.table("silver", "fact_case_charge").read_keys(cases), cases, "case_pid")
-            profile = facts.case_profile(of_case["cases"], of_case["events"], entities, counted)
-            history = facts.assignment_history(of_case["assignments"])
-            self._replace("fact_case_officer", facts.fact_case_officer(history, profile, officers), cases)
+    def load_events(self, events: DataFrame, seats: DataFrame, stale: DataFrame | None = None) -> None:
+        """Replace the events in ``stale`` (by default, all) by those given and their officers."""
+        rows = facts.fact_event_officer(events, seats, self.read("qa", "cases"), self.read("silver", "dim_officer"))
+        self._replace("fact_event_officer", rows, stale)
 
-        side_by_side(load_charges_then_officers, load_events)
+    def load_assigned(self, of_case: dict[str, DataFrame], entities: DataFrame, stale: DataFrame | None = None) -> None:
+        """Replace the charges, then the assignments, of the cases in ``stale`` (by default, of all)."""
+        charges = facts.fact_case_charge(of_case["charges"], of_case["cases"], entities, self.read("silver", "dim_person"))
+        self._replace("fact_case_charge", charges, stale)
+        written = self.table("silver", "fact_case_charge")
+        counted = written.read() if stale is None else touched(written.read_keys(stale), stale, "case_pid")
+        profile = facts.case_profile(of_case["cases"], of_case["events"], entities, counted)
+        history = facts.assignment_history(of_case["assignments"])
+        self._replace("fact_case_officer", facts.fact_case_officer(history, profile, self.read("silver", "dim_officer")), stale)
 
     def build_marts(self, as_of: dt.date) -> None:
         t = {n: self.read("silver", n) for n in ("fact_case_charge", "fact_event_officer", "fact_case_officer", "dim_case", "dim_officer")}
@@ -280,8 +328,10 @@ class Nightly:
 
     # --- writing
 
-    def _replace(self, name: str, rows: DataFrame, stale: DataFrame) -> None:
-        self.table("silver", name).replace(with_comments(rows, COMMENTS.get(name, {})), [REPLACED_BY[name]], stale)
+    def _replace(self, name: str, rows: DataFrame, stale: DataFrame | None = None) -> None:
+        """Put ``rows`` in the place of those whose key is in ``stale``, by default of all."""
+        table, rows = self.table("silver", name), with_comments(rows, COMMENTS.get(name, {}))
+        table.overwrite(rows) if stale is None else table.replace(rows, [REPLACED_BY[name]], stale)
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         """Write rows that several steps read into this run's open folder."""
